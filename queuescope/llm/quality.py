@@ -49,7 +49,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 _NUMBER = re.compile(r"^[-+]?[\d.,:%x/]*\d[\d.,:%]*$")
 _VOWEL = re.compile(r"[aeiouyà-ÿœ]", re.I)
 _HEX = re.compile(r"^[0-9a-fA-F]{4,}[: ]+(?:[0-9a-fA-F]{2,4}[ ]+){4,}")
-_BROKEN = re.compile("[�\x00-\x08\x0b\x0e-\x1f\x7f-\x9f]|Ã[\x80-\xbf‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ¡-¿]|â€|Â[ -¿]")
+_HEX_DIGITS = frozenset("0123456789abcdefABCDEF")
+_CONTROL = re.compile("[\x00-\x08\x0b\x0e-\x1f\x7f]")
+_BROKEN = re.compile("[�\x80-\x9f]|Ã[\x80-\xbf‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ¡-¿]|â€|Â[ -¿]")
 _ENDS = (".", "!", "?", ":", ";", ",", '"', "”", "»", "…", ")")
 
 
@@ -111,63 +113,72 @@ class LineShape(NamedTuple):
     letters: int
     symbols: int
     common: int
+    size: int
     symbol: int
 
 
 #: Fields of a symbol and their number of values.
-_FIELDS = (("layout", 7), ("length", 4), ("sense", 6), ("numbers", 3), ("end", 2))
+_FIELDS = (("layout", 7), ("length", 4), ("sense", 6), ("numbers", 3), ("end", 3))
 N_SYMBOLS = int(np.prod([n for _, n in _FIELDS]))
+_SPLIT = re.compile(r"[\s,;|]+")
+_DIGITS = "0123456789"
+
+
+def _layout(line: str, bare: str, tokens: list[str]) -> int:
+    """0 running text, 1 tabs or pipes, 2 fields parted by commas or semicolons, 3 aligned columns, 4 bullet, 5 dump, 6 one long token."""
+    if bare[0] in _HEX_DIGITS and _HEX.match(bare):
+        return 5
+    commas, semis, pipes = bare.count(","), bare.count(";"), bare.count("|")
+    if len(tokens) == 1 and len(bare) >= 24 and not commas and not semis and not bare.strip("|").count("|"):
+        return 6
+    if "\t" in bare or pipes >= 2:
+        return 1
+    if (commas or semis) and len(tokens) <= 1 + bare.count(", ") and len(bare) > 3 and bare[-1] not in ",;.":
+        return 2
+    if _BULLET.match(line):
+        return 4
+    return 3 if "  " in bare and _ALIGNED.search(bare) else 0
+
+
+def _sense(bare: str, inner: int, symbols: int, lowered: list[str], common: int) -> int:
+    """0 symbols, 1 broken encoding, 2 repetition, 3 unspeakable letters, 4 function words, 5 other."""
+    n = len(lowered)
+    if inner and symbols > 0.4 * inner:
+        return 0
+    if not bare.isascii() and _BROKEN.search(bare) or not bare.isprintable() and _CONTROL.search(bare):
+        return 1
+    if n >= 3 and len(set(lowered)) <= max(1, n // 3):
+        return 2
+    if n and common * 8 >= n:
+        return 4
+    spoken = [w for w in lowered if len(w) > 2]
+    if spoken and sum(1 for w in spoken if not _VOWEL.search(w)) * 2 > len(spoken):
+        return 3
+    return 5
 
 
 def line_shape(line: str) -> LineShape:
     """The statistics of one line that is not blank."""
-    words = _WORD.findall(line)
-    lowered = [w.lower() for w in words]
     bare = line.strip()
-    inner = len(bare) - bare.count(" ") - bare.count("\t")
-    letters = sum(map(len, words))
-    digits = sum(c.isdigit() for c in bare)
-    symbols = max(0, inner - letters - digits)
-    common = sum(w in COMMON_WORDS for w in lowered)
     tokens = bare.split()
-    bullet = bool(_BULLET.match(line))
-    commas, semis, tabs = bare.count(","), bare.count(";"), bare.count("\t")
-    dense = len(tokens) <= 1 + bare.count(", ")
-    if _HEX.match(bare):
-        layout = 5
-    elif len(tokens) == 1 and len(bare) >= 24 and not commas and not semis and "|" not in bare[1:-1].strip("|"):
-        layout = 6  # one long unbroken token
-    elif tabs or _PIPE_ROW.match(line) or bare.count("|") >= 2:
-        layout = 1
-    elif (semis >= 1 or commas >= 1) and dense and len(bare) > 3 and bare[-1] not in ",;" and not bare.endswith("."):
-        layout = 2  # delimited fields without blanks
-    elif len(_ALIGNED.findall(bare)) >= 1 and not bullet:
-        layout = 3  # aligned columns
-    elif bullet:
-        layout = 4
-    else:
-        layout = 0
-    n = len(words)
+    inner = sum(map(len, tokens))
+    lowered = [w.lower() for w in _WORD.findall(bare)]
+    letters = sum(map(len, lowered))
+    digits = sum(map(bare.count, _DIGITS))
+    symbols = max(0, inner - letters - digits)
+    common = sum(map(COMMON_WORDS.__contains__, lowered))
+    n = len(lowered)
     length = 0 if n <= 4 else 1 if n <= 6 else 2 if n <= 12 else 3
-    if inner and symbols / inner > 0.4:
-        sense = 0  # symbols
-    elif _BROKEN.search(bare):
-        sense = 1
-    elif n >= 3 and len(set(lowered)) <= max(1, n // 3):
-        sense = 2  # repetition
-    elif n and sum(1 for w in words if len(w) > 2 and not _VOWEL.search(w)) * 2 > sum(1 for w in words if len(w) > 2) > 0:
-        sense = 3  # letters that cannot be spoken
-    elif common * 8 >= n and n:
-        sense = 4  # function words
-    else:
-        sense = 5
-    figures = sum(bool(_NUMBER.match(t)) for t in re.split(r"[\s,;|]+", bare) if t)
-    numbers = 0 if not figures else 1 if figures * 3 < len(re.split(r"[\s,;|]+", bare)) else 2
-    end = int(bare.endswith(_ENDS[:3]))
+    numbers = 0
+    if digits:
+        cells = [t for t in _SPLIT.split(bare) if t]
+        figures = sum(map(bool, map(_NUMBER.match, cells)))
+        numbers = 0 if not figures else 1 if figures * 3 < len(cells) else 2
+    end = 1 if bare.endswith(_ENDS[:3]) else 2 if bare.endswith((",", ":")) else 0
     symbol = 0
-    for value, (_, size) in zip((layout, length, sense, numbers, end), _FIELDS, strict=True):
+    for value, (_, size) in zip((_layout(line, bare, tokens), length, _sense(bare, inner, symbols, lowered, common), numbers, end), _FIELDS, strict=True):
         symbol = symbol * size + value
-    return LineShape(n, letters, symbols, common, symbol)
+    return LineShape(n, letters, symbols, common, inner, symbol)
 
 
 def plain_label(symbol: int) -> int:
@@ -183,9 +194,9 @@ def plain_label(symbol: int) -> int:
         return 2 if numbers or layout != 3 else -1
     if layout == 4:
         return 1 if length <= 1 else -1
-    if sense == 4 and length >= 2:
-        return 0
-    if sense == 5 and length == 0 and not end:
+    if end and length == 0 or sense == 4 and length >= 2:
+        return 0  # greetings, the rests of wrapped sentences, sentences
+    if sense == 5 and length == 0:
         return 1
     return -1
 
@@ -256,6 +267,22 @@ def label_lines(symbols: list[list[int]], model: LineModel) -> list[np.ndarray]:
     return labels
 
 
+def weigh(labels: np.ndarray, sizes: list[int], mainly: float = 0.5) -> tuple[list[float | None], str]:
+    """The labels' shares of the lines, and the kind.
+
+    The kind is the label whose mean of its share of lines and its share of
+    characters is above ``mainly``, else prose: a few list lines do not outweigh
+    paragraphs that stand on one line each.
+    """
+    if not len(labels):
+        return [None] * 4, KINDS[0]
+    lines = np.bincount(labels, minlength=4) / len(labels)
+    signs = np.bincount(labels, weights=sizes, minlength=4) / max(1, sum(sizes))
+    both = (lines + signs) / 2
+    best = int(both.argmax())
+    return lines.tolist(), KINDS[best] if both[best] > mainly else KINDS[0]
+
+
 _SCHEMA = (
     "doc_id {kind}, n_words bigint, mean_word_length double, symbol_ratio double, share_lines_ending_punct double, share_common_words double, "
     "n_lines bigint, share_prose double, share_list double, share_table double, share_junk double, kind string"
@@ -282,8 +309,7 @@ def fit_on(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", sam
 def quality(documents: DataFrame, model: LineModel | None = None, doc_id: str = "doc_id", text: str = "text", mainly: float = 0.5) -> DataFrame:
     """One row per mail: figures on its own text, the shares of its line labels and its kind.
 
-    ``kind`` is the label of more than ``mainly`` of the lines that are not
-    blank, else prose.  A mail without own text has zero counts, null ratios and
+    ``kind`` is decided by :func:`weigh`.  A mail without own text has zero counts, null ratios and
     kind ``prose``.  All texts are read in full.
     """
     if model is None:
@@ -297,6 +323,7 @@ def quality(documents: DataFrame, model: LineModel | None = None, doc_id: str =
                 batch = whole.slice(at, 500)
                 rows: list[tuple] = []
                 symbols: list[list[int]] = []
+                sizes: list[list[int]] = []
                 for said in batch.column(1).to_pylist():
                     lines = [x for x in own_text(said) if x.strip()]
                     shapes = [line_shape(x) for x in lines]
@@ -304,16 +331,16 @@ def quality(documents: DataFrame, model: LineModel | None = None, doc_id: str =
                     words, letters = sum(s.words for s in shapes), sum(s.letters for s in shapes)
                     signs = sum(s.symbols for s in shapes)
                     ended = sum(x.rstrip().endswith(_ENDS[:3]) for x in lines)
-                    inner = sum(len(x.replace(" ", "").replace("\t", "")) for x in lines)
+                    sizes.append([s.size for s in shapes])
+                    inner = sum(sizes[-1])
                     rows.append((
                         words, letters / words if words else None, signs / inner if inner else None, ended / len(lines) if lines else None,
                         sum(s.common for s in shapes) / words if words else None, len(lines),
                     ))
                 out: list[tuple] = []
-                for row, labels in zip(rows, label_lines(symbols, shared.value), strict=True):
-                    shares = (np.bincount(labels, minlength=4) / len(labels)).tolist() if len(labels) else [None] * 4
-                    best = int(np.argmax(shares)) if len(labels) else 0
-                    out.append((*row, *shares, KINDS[best] if len(labels) and shares[best] > mainly else KINDS[0]))
+                for row, labels, weights in zip(rows, label_lines(symbols, shared.value), sizes, strict=True):
+                    shares, kind = weigh(labels, weights, mainly)
+                    out.append((*row, *shares, kind))
                 columns = [pa.array(c) for c in zip(*out, strict=True)]
                 types = [pa.int64(), *[pa.float64()] * 4, pa.int64(), *[pa.float64()] * 4, pa.string()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *[c.cast(t) for c, t in zip(columns, types, strict=True)]], names=names)
