@@ -191,15 +191,15 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     pairs = F.filter(F.sequence(F.lit(0), F.size("shingles") - 1), lambda i: i % 2 == 0)
     counted = seen.where(F.col("doc").isNull()).select(F.explode(F.transform(pairs, lambda i: F.struct(F.get("shingles", i).alias("shingle"), F.get("shingles", i + 1).alias("n")))).alias("c"))
     frequency = counted.groupBy(F.col("c.shingle").alias("shingle")).agg(F.sum("c.n").alias("documents"))
-    tokens = windows.select("item", "start", "words", F.posexplode("shingles").alias("offset", "shingle"))
+    tokens = windows.select("item", "start", F.posexplode("shingles").alias("offset", "shingle"))
     # a shingle no document has makes its window impossible: the left join leaves it null, and a null ends the window
     ranked = tokens.join(frequency, "shingle", "left").groupBy("item", "start").agg(
         F.min_by(F.struct("offset", "shingle"), F.struct("documents", "offset")).alias("rarest"),
         F.count(F.lit(1)).alias("of"),
         F.count("documents").alias("present"),
-        F.first("words").alias("words"),
     )
-    prefixes = ranked.where(F.col("of") == F.col("present")).select("item", "start", F.col("words").alias("wanted"), "rarest.offset", "rarest.shingle")
+    possible = ranked.where(F.col("of") == F.col("present")).select("item", "start", "rarest.offset", "rarest.shingle")
+    prefixes = possible.join(windows.select("item", "start", F.col("words").alias("wanted")), ["item", "start"])
     found = seen.where(F.col("doc").isNotNull()).withColumn("n", F.size("shingles"))
     positions = found.select("doc", "part", "first", "words", "n", F.posexplode("shingles").alias("at", "shingle"))
     begin = F.col("at") - F.col("offset")

@@ -41,6 +41,7 @@ _ORIGINAL = re.compile(r"^\s*-{2,}\s*(?:original message|forwarded message|urspr
 _FIELD = re.compile(r"^(?:from|to|cc|date|sent|subject|von|an|betreff|de|objet|asunto)\s*:", re.I)
 _SIGNATURE = re.compile(r"^--\s*$")
 _CLOSING = re.compile(r"^\s*(?:(?:best|kind|warm|with) )?(?:regards|wishes|thanks|cheers|sincerely|many thanks|viele grüße|mit freundlichen grüßen|gruß|cordialement|bien à vous|saludos|un saludo|atentamente)\s*[,.!]?\s*$", re.I)
+_GREETING = re.compile(r"^\s*(?:[^\W\d_]+\s){0,2}[^\W\d_]+,\s*$")
 _PERSONAL = re.compile(r"^\s*(?:tel\.? ?[+(\d]|staff no\.? \d)", re.I)
 _DISCLAIMER = re.compile(r"^\s*(?:this message and anything attached|notice: the views in this mail|please think of the hedges|diese nachricht ist vertraulich|ce message est confidentiel|este mensaje es confidencial|this e-?mail (?:and any|is confidential))", re.I)
 _BULLET = re.compile(r"^\s*(?:[-*+•·‣o]|\(?\d{1,4}[.)]|[a-zA-Z][.)])\s+\S")
@@ -65,16 +66,20 @@ def own_text(text: str | None) -> list[str]:
     if not plain:
         return []
     kept: list[str] = []
-    quoting = closed = below = False
+    quoting = closed = below = greeted = False
     for line in plain[0].text.split("\n"):
         if _ORIGINAL.match(line):
-            # unmarked quotes run to the end, or to the quoted writer's closing where nothing stands above
+            # unmarked quotes run to the end; where nothing stands above, to the quoted writer's closing or the next greeting
             below = not any(x.strip() for x in kept)
-            quoting = True
+            quoting, greeted = True, False
             continue
         if quoting:
             if below and _CLOSING.match(line):
                 quoting, closed, below = False, True, False
+            elif below and _GREETING.match(line):
+                quoting, greeted = not greeted, True
+                if not quoting:
+                    kept.append(line)
             continue
         if _WROTE.match(line):
             closed = False
