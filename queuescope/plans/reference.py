@@ -1,9 +1,8 @@
-"""Queries for the wait-time operators."""
+"""All queries for the wait-time operators, with their SQL twins."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from queuescope.plans import core_queries, curve_queries
+from queuescope.plans.facts import QUERIES, SQL
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+__all__ = ["QUERIES", "SQL", "core_queries", "curve_queries"]
