@@ -108,7 +108,7 @@ def shingle_filter(shingles: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     words = slots.select(F.shiftright("slot", 6).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot").bitwiseAND(F.lit(63).cast("bigint")).cast("int")).alias("bit"))
     packed = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most 2^(bits-6) rows
     table = np.zeros(1 << (bits - 6), np.int64)
-    table[packed["word"].to_numpy()] = packed["bits"].to_numpy()
+    table[packed["word"].to_numpy(np.int64)] = packed["bits"].to_numpy(np.int64)
     return table.view(np.uint8)
 
 

@@ -96,14 +96,14 @@ def pack_items(items: DataFrame, item_id: str, tokens: str, capacities: list[int
     ``piece_tokens`` and ``container``.  Items without tokens (null or 0) need no
     space: they come out once with no container.  Ids should be unique; rows
     that repeat an id are packed as items of their own.  Capacities must be
-    positive; equal ones count once.
+    positive; equal ones count once, and without any the result is empty.
     """
     wanted = sorted(set(capacities))
-    if not wanted or wanted[0] < 1 or len(wanted) > MOST_CAPACITIES:
-        raise ValueError(f"1 to {MOST_CAPACITIES} positive capacities are needed")
+    if len(wanted) > MOST_CAPACITIES or wanted and wanted[0] < 1:
+        raise ValueError(f"at most {MOST_CAPACITIES} capacities, all positive, can be packed for")
     narrow = cut(items.select(F.col(item_id).alias("id"), F.coalesce(F.col(tokens), F.lit(0)).cast("bigint").alias("item_tokens")))
     shards = max(1, -(-narrow.count() // shard_items))
-    each = narrow.select("id", "item_tokens", F.explode(F.array(*[F.lit(c).cast("bigint") for c in wanted])).alias("capacity_tokens"))
+    each = narrow.select("id", "item_tokens", F.explode(F.array(*[F.lit(c) for c in wanted]).cast("array<bigint>")).alias("capacity_tokens"))
     whole = F.floor(F.col("item_tokens") / F.col("capacity_tokens"))
     each = each.withColumns({"whole": F.when(F.col("item_tokens") > F.col("capacity_tokens"), whole).otherwise(F.lit(0)).cast("bigint")})
     each = each.withColumn("rest", F.col("item_tokens") - F.col("whole") * F.col("capacity_tokens"))
