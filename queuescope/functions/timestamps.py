@@ -242,6 +242,9 @@ def with_instant(
             ),
         )
 
-    kept = [c for c in frame.columns if c not in (f"{out}_us", f"{out}_notation", f"__{out}")]
-    parsed = frame.select(*kept, bound(trimmed(F.col(text)), read).alias(f"__{out}"))
-    return parsed.select(*kept, F.col(f"__{out}.us").alias(f"{out}_us"), F.col(f"__{out}.notation").alias(f"{out}_notation"))
+    kept = [c for c in frame.columns if c not in (f"{out}_us", f"{out}_notation")]
+    spare = f"__{out}"
+    while spare in kept:
+        spare += "_"
+    parsed = frame.select(*kept, bound(trimmed(F.col(text)), read).alias(spare))
+    return parsed.select(*kept, F.col(f"{spare}.us").alias(f"{out}_us"), F.col(f"{spare}.notation").alias(f"{out}_notation"))
