@@ -15,7 +15,11 @@ def unpivot_standby(frame: DataFrame, posted: str = "submitted_posted_time", act
     values outside ``low`` to ``high`` are dropped.
     """
     keep = [c for c in frame.columns if c not in (posted, actual)]
-    values = F.array(*[F.struct(F.lit(kind).alias("wait_time_type"), F.bround(F.col(c).try_cast("double"), 0).cast("bigint").alias("wait_time_minutes")) for kind, c in (("POSTED", posted), ("ACTUAL", actual))])
+
+    def whole(c: str) -> Column:
+        return F.bround(F.col(c).try_cast("double"), 0).try_cast("bigint")
+
+    values = F.array(*[F.struct(F.lit(kind).alias("wait_time_type"), whole(c).alias("wait_time_minutes")) for kind, c in (("POSTED", posted), ("ACTUAL", actual))])
     return frame.select(*keep, F.inline(values)).where(F.col("wait_time_minutes").between(low, high))
 
 

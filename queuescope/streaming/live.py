@@ -44,7 +44,7 @@ def to_readings(raw: DataFrame, mapping: DataFrame, prefix_of_park: dict[str, st
     return rows.withColumns({
         "park_code": park,
         "park_date": park_date_of(F.unix_micros("observed_at"), zone_of_park(park)),
-        "is_stale": now - F.col("observed_at") > F.make_interval(hours=F.lit(stale_hours)),
+        "is_stale": F.unix_micros(now) - F.unix_micros("observed_at") > F.lit(stale_hours * 3_600_000_000),
     })
 
 
