@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from queuescope.functions.timestamps import bound
+
 # Label of the date group of each holiday code.
 GROUP_OF_HOLIDAY = {
     "ASH": "ASH_WEDNESDAY",
@@ -77,21 +79,30 @@ def date_spine(spark: SparkSession, first: str, last: str) -> DataFrame:
 
 
 def easter(year: Column) -> Column:
-    """Easter Sunday of a year of the Gregorian calendar."""
+    """Easter Sunday of a year of the Gregorian calendar.
+
+    The age of the moon on 21 March gives the paschal full moon, the weekday of
+    that day the Sunday after it.  Intermediate values are bound once, so the
+    expression stays small.
+    """
 
-    def div(a: Column | int, b: int) -> Column:
+    def div(a: Column, b: int) -> Column:
         return F.floor(a / F.lit(b)).cast("int")
 
-    golden, century = year % 19, div(year, 100)
-    leap_drop, moon_drop = div(century, 4), div(8 * century + 13, 25)
-    epact = (19 * golden + century - leap_drop - moon_drop + 15) % 30
-    # a full moon on the last possible day moves back by one, and so does the day before it in the later golden years
-    moon = F.when((epact == 29), 28).when((epact == 28) & (golden > 10), 27).otherwise(epact)
-    weekday = (year + div(year, 4) + moon + 2 - century + leap_drop) % 7
-    after = moon - weekday
-    month = 3 + div(after + 40, 44)
-    day = after + 28 - 31 * div(month, 4)
-    return F.make_date(year.cast("int"), month.cast("int"), day.cast("int"))
+    def from_moon(y: Column, century: Column, full_moon: Column) -> Column:
+        weekday = (y + div(y, 4) + full_moon + 2 - century + div(century, 4)) % 7
+        return F.date_add(F.make_date(y, F.lit(3), F.lit(21)), (full_moon - weekday + 7).cast("int"))
+
+    def from_epact(y: Column, century: Column, epact: Column) -> Column:
+        # a full moon on the last possible day moves back by one, and so does the day before it in the later golden years
+        full_moon = F.when(epact == 29, 28).when((epact == 28) & (y % 19 > 10), 27).otherwise(epact)
+        return bound(full_moon, lambda m: from_moon(y, century, m))
+
+    def from_century(y: Column, century: Column) -> Column:
+        epact = (19 * (y % 19) + century - div(century, 4) - div(8 * century + 13, 25) + 15) % 30
+        return bound(epact, lambda e: from_epact(y, century, e))
+
+    return bound(year.cast("int"), lambda y: bound(div(y, 100), lambda c: from_century(y, c)))
 
 
 def calendar_columns(spine: DataFrame) -> DataFrame:
@@ -130,9 +141,8 @@ def relative_columns(spine: DataFrame, today: str) -> DataFrame:
     })
 
 
-def holiday_code(d: Column) -> Column:
-    """Holiday code of a date before neighbours are looked at; NONE where there is none."""
-    sunday = easter(F.year(d))
+def holiday_code(d: Column, sunday: Column) -> Column:
+    """Holiday code of a date before neighbours are looked at; ``sunday`` is its year's Easter. NONE where there is none."""
     tests = {code: (F.month(d) == m) & (F.dayofmonth(d) == day) for code, (m, day) in FIXED_HOLIDAYS.items()}
     tests |= {code: (F.month(d) == m) & (F.weekday(d) == w) & F.dayofmonth(d).between(a, b) for code, (m, w, a, b) in WEEKDAY_HOLIDAYS.items()}
     tests |= {code: d == F.date_add(sunday, off) for code, off in EASTER_HOLIDAYS.items()}
@@ -146,10 +156,11 @@ def holiday_code(d: Column) -> Column:
 def with_holidays(spine: DataFrame) -> DataFrame:
     """Adds holidaycode; Presidents' Day and a Mardi Gras on the next date become one pair."""
     by_year = Window.partitionBy(F.year("park_date")).orderBy("park_date")
-    raw = spine.withColumn("__code", holiday_code(F.col("park_date")))
+    dated = spine.withColumn("__easter", easter(F.year("park_date")))
+    raw = dated.withColumn("__code", holiday_code(F.col("park_date"), F.col("__easter")))
     pair_first = (F.col("__code") == "PRS") & (F.lead("__code").over(by_year) == "MGR")
     pair_second = (F.col("__code") == "MGR") & (F.lag("__code").over(by_year) == "PRS")
-    return raw.withColumn("holidaycode", F.when(pair_first, "PMP").when(pair_second, "PMM").otherwise(F.col("__code"))).drop("__code")
+    return raw.withColumn("holidaycode", F.when(pair_first, "PMP").when(pair_second, "PMM").otherwise(F.col("__code"))).drop("__code", "__easter")
 
 
 def with_date_group(spine: DataFrame) -> DataFrame:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from queuescope.operators.ordered import null_safe_join
+
+def _half(weight: str, up: WindowSpec, whole: WindowSpec) -> Column:
+    """Whether the cumulative weight has reached half of the total."""
+    total = F.sum(weight).over(whole)
+    return F.sum(weight).over(up) >= total / 2 - 1e-12 * total
 
 
 def weighted_median(frame: DataFrame, keys: Sequence[str], value: str, weight: str, out: str = "weighted_median") -> DataFrame:
@@ -19,25 +23,39 @@ def weighted_median(frame: DataFrame, keys: Sequence[str], value: str, weight: s
     """
     rows = frame.where(F.col(value).isNotNull() & (F.col(weight) > 0))
     per_value = rows.groupBy(*keys, value).agg(F.sum(weight).alias("__w"))
-    up = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    totals = per_value.groupBy(*keys).agg(F.sum("__w").alias("__t"))
-    reached = null_safe_join(per_value.withColumn("__c", F.sum("__w").over(up)), totals, keys)
-    return reached.groupBy(*keys).agg(F.min(F.when(F.col("__c") >= F.col("__t") / 2 - 1e-12 * F.col("__t"), F.col(value))).alias(out))
+    whole = Window.partitionBy(*keys)
+    up = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return per_value.withColumn("__h", _half("__w", up, whole)).groupBy(*keys).agg(F.min(F.when(F.col("__h"), F.col(value))).alias(out))
 
 
 def posted_aggregates(facts: DataFrame, keys: Sequence[str] = ("entity_code", "dategroupid", "hour"), value: str = "wait_time_minutes", weight: str = "weight") -> DataFrame:
-    """Weighted and plain statistics per group; rows with a null key are left out."""
-    rows = facts.dropna(subset=list(keys))
-    plain = rows.groupBy(*keys).agg(
-        (F.sum(F.col(value) * F.col(weight)) / F.nullif(F.sum(weight), F.lit(0.0))).alias("posted_mean"),
-        F.median(value).alias("posted_median_unweighted"),
-        F.avg(value).alias("posted_mean_unweighted"),
-        F.count(value).alias("posted_count"),
-        F.avg(weight).alias("avg_recency_weight"),
-        F.min("park_date").alias("min_park_date"),
-        F.max("park_date").alias("max_park_date"),
+    """Weighted and plain statistics per group; rows with a null key are left out.
+
+    Rows are first reduced to one per group and distinct value; everything,
+    medians included, comes from that table with one further shuffle.  Rows
+    without a value count for the mean weight and the dates only.
+    """
+    per_value = facts.dropna(subset=list(keys)).groupBy(*keys, value).agg(
+        F.sum(F.when(F.col(value).isNotNull() & (F.col(weight) > 0), F.col(weight))).alias("__w"),
+        F.count(value).alias("__n"),
+        F.sum(weight).alias("__all_w"),
+        F.count(weight).alias("__all_n"),
+        F.min("park_date").alias("__first"),
+        F.max("park_date").alias("__last"),
+    )
+    whole = Window.partitionBy(*keys)
+    up = whole.orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    v, n = F.col(value), F.col("__n")
+    return per_value.withColumn("__h", _half("__w", up, whole)).groupBy(*keys).agg(
+        F.min(F.when(F.col("__h"), v)).alias("posted_median"),
+        (F.sum(v * F.col("__w")) / F.nullif(F.sum("__w"), F.lit(0.0))).alias("posted_mean"),
+        F.percentile(v, F.lit(0.5), n).alias("posted_median_unweighted"),
+        (F.sum(v * n) / F.nullif(F.sum(n), F.lit(0))).alias("posted_mean_unweighted"),
+        F.sum(n).alias("posted_count"),
+        (F.sum("__all_w") / F.nullif(F.sum("__all_n"), F.lit(0))).alias("avg_recency_weight"),
+        F.min("__first").alias("min_park_date"),
+        F.max("__last").alias("max_park_date"),
     )
-    return plain.join(weighted_median(rows, keys, value, weight, "posted_median"), list(keys), "left")
 
 
 #: Levels of the fallback, finest first; each takes the median of the aggregates below it.
