@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from queuescope.llm.mailtext import parts, without_quote_marks
@@ -74,31 +74,23 @@ def _slots(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return keys >> np.uint64(64 - bits), (keys >> np.uint64(8)) & np.uint64((1 << bits) - 1)
 
 
-def item_windows(items: DataFrame, item_id: str, text: str, run: int = RUN) -> DataFrame:
-    """item, start, words (array) and shingles (array of bigint) of every window of ``run`` words.
+def item_shingles(items: DataFrame, item_id: str, text: str) -> DataFrame:
+    """item, key (of id and text), words (array) and shingles (array of bigint) of every different item.
 
-    Items with fewer words, null or empty texts have no windows.
+    Repeated rows count once; an id with several texts has a row for each.  Null
+    and empty texts have no words.
     """
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = _Hashes()
         for batch in batches:
-            rows: dict[str, list] = {"item": [], "start": [], "words": [], "shingles": []}
-            for of, said in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = words_of(said or "")
-                keys = shingle_hashes(np.array([hashed[w] for w in words], np.uint64)).view(np.int64).tolist()
-                for start in range(len(words) - run + 1):
-                    rows["item"].append(of)
-                    rows["start"].append(start)
-                    rows["words"].append(words[start : start + run])
-                    rows["shingles"].append(keys[start : start + run - SHINGLE + 1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["item"], batch.schema.types[0]), pa.array(rows["start"], pa.int32()), pa.array(rows["words"], pa.list_(pa.string())), pa.array(rows["shingles"], pa.list_(pa.int64()))],
-                names=list(rows),
-            )
+            words = [words_of(said or "") for said in batch.column(2).to_pylist()]
+            keys = [shingle_hashes(np.array([hashed[w] for w in ws], np.uint64)).view(np.int64).tolist() for ws in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(words, pa.list_(pa.string())), pa.array(keys, pa.list_(pa.int64()))], names=["item", "key", "words", "shingles"])
 
     kind = items.schema[item_id].dataType.simpleString()
-    return items.select(item_id, text).mapInArrow(build, f"item {kind}, start int, words array<string>, shingles array<bigint>")
+    rows = items.select(F.col(item_id).alias("item"), F.col(text).alias("text")).distinct()
+    return rows.select("item", F.xxhash64("item", "text").alias("key"), "text").mapInArrow(build, f"item {kind}, key bigint, words array<string>, shingles array<bigint>")
 
 
 def shingle_filter(shingles: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -185,25 +177,23 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     Rows with a null id, and null or empty texts, give nothing.  Repeated mails
     are each reported; an item's text may stand in any number of mails.
     """
-    windows = cut(item_windows(items.where(F.col(item_id).isNotNull()), item_id, text, run))
-    table = shingle_filter(windows.select(F.explode("shingles").alias("shingle")).distinct(), bits)
+    wanted = cut(item_shingles(items.where(F.col(item_id).isNotNull()), item_id, text))
+    tokens = wanted.select("key", F.posexplode("shingles").alias("start", "shingle"))
+    table = shingle_filter(tokens.select("shingle").distinct(), bits)
     seen = cut(document_runs(spread(documents.where(F.col(doc_id).isNotNull()).select(doc_id, text)), doc_id, text, table, bits, run))
     pairs = F.filter(F.sequence(F.lit(0), F.size("shingles") - 1), lambda i: i % 2 == 0)
     counted = seen.where(F.col("doc").isNull()).select(F.explode(F.transform(pairs, lambda i: F.struct(F.get("shingles", i).alias("shingle"), F.get("shingles", i + 1).alias("n")))).alias("c"))
     frequency = counted.groupBy(F.col("c.shingle").alias("shingle")).agg(F.sum("c.n").alias("documents"))
-    tokens = windows.select("item", "start", F.posexplode("shingles").alias("offset", "shingle"))
-    # a shingle no document has makes its window impossible: the left join leaves it null, and a null ends the window
-    ranked = tokens.join(frequency, "shingle", "left").groupBy("item", "start").agg(
-        F.min_by(F.struct("offset", "shingle"), F.struct("documents", "offset")).alias("rarest"),
-        F.count(F.lit(1)).alias("of"),
-        F.count("documents").alias("present"),
+    # the window of words that begins at a shingle holds that one and the next run - SHINGLE; a shingle of no document rules it out
+    size = run - SHINGLE + 1
+    ahead = Window.partitionBy("key").orderBy("start").rowsBetween(0, size - 1)
+    ranked = tokens.join(frequency, "shingle", "left").select(
+        "key", "start", F.min(F.struct("documents", F.col("start").alias("at"), "shingle")).over(ahead).alias("rarest"), F.count("documents").over(ahead).alias("present")
     )
-    possible = ranked.where(F.col("of") == F.col("present")).select("item", "start", "rarest.offset", "rarest.shingle")
-    prefixes = possible.join(windows.select("item", "start", F.col("words").alias("wanted")), ["item", "start"])
+    prefixes = ranked.where(F.col("present") == size).select("key", "start", (F.col("rarest.at") - F.col("start")).alias("offset"), "rarest.shingle")
     found = seen.where(F.col("doc").isNotNull()).withColumn("n", F.size("shingles"))
-    positions = found.select("doc", "part", "first", "words", "n", F.posexplode("shingles").alias("at", "shingle"))
+    positions = found.select("doc", "part", "first", F.col("words").alias("said"), "n", F.posexplode("shingles").alias("at", "shingle"))
     begin = F.col("at") - F.col("offset")
-    inside = (begin >= 0) & (begin + (run - SHINGLE) < F.col("n"))
-    candidates = positions.join(prefixes, "shingle").where(inside)
-    verified = candidates.where(F.slice("words", begin + 1, F.lit(run)) == F.col("wanted"))
-    return verified.groupBy("doc", "item").agg(F.count_distinct("start").alias("windows"), F.min(F.col("first") + begin).alias("first"))
+    candidates = positions.join(prefixes, "shingle").where((begin >= 0) & (begin + size <= F.col("n")))
+    verified = candidates.join(wanted.select("item", "key", "words"), "key").where(F.slice("said", begin + 1, F.lit(run)) == F.slice("words", F.col("start") + 1, F.lit(run)))
+    return verified.groupBy("doc", "item").agg(F.count_distinct("key", "start").alias("windows"), F.min(F.col("first") + begin).alias("first"))

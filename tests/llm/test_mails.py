@@ -63,7 +63,7 @@ WORDS = [f"w{i}" for i in range(40)]
 def _corpus(seed):
     rng = random.Random(seed)
     items = [(i, " ".join(rng.choice(WORDS) for _ in range(rng.choice([5, 11, 12, 30, 45])))) for i in range(25)] + [(90, None), (91, ""), (92, "Same " * 40)]
-    items.append((93, items[3][1]))
+    items += [(93, items[3][1]), items[4], (4, " ".join(rng.choice(WORDS) for _ in range(30)))]
     documents = []
     for i in range(60):
         words = [rng.choice(WORDS) for _ in range(rng.randrange(0, 80))]
