@@ -319,7 +319,7 @@ def quality(documents: DataFrame, model: LineModel | None = None, doc_id: str =
     """
     if model is None:
         model = fit_on(documents, doc_id, text)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = documents.sparkSession.sparkContext.broadcast(tuple(model))  # plain arrays: workers need no class to read them
     names = ["doc_id", *re.findall(r", (\w+) ", _SCHEMA)]
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,7 +343,7 @@ def quality(documents: DataFrame, model: LineModel | None = None, doc_id: str =
                         sum(s.common for s in shapes) / words if words else None, len(lines),
                     ))
                 out: list[tuple] = []
-                for row, labels, weights in zip(rows, label_lines(symbols, shared.value), sizes, strict=True):
+                for row, labels, weights in zip(rows, label_lines(symbols, LineModel(*shared.value)), sizes, strict=True):
                     shares, kind = weigh(labels, weights, mainly)
                     out.append((*row, *shares, kind))
                 columns = [pa.array(c) for c in zip(*out, strict=True)]
