@@ -1 +1,8 @@
 """Wait-time analytics as Spark DataFrame plans."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their code: the workers need not find this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
