@@ -43,7 +43,8 @@ def p7_within_bound(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _packed(spark: SparkSession, d: str) -> DataFrame:
-    capacities = [int(r[0]) for r in table(spark, d, "container_specs").select("capacity_tokens").distinct().limit(1001).collect()]
+    # specifications without a positive capacity hold nothing; more than the operator's limit is an error there
+    capacities = [int(r[0]) for r in table(spark, d, "container_specs").where(F.col("capacity_tokens") > 0).select("capacity_tokens").distinct().limit(1001).collect()]
     mails = table(spark, d, "documents").select("doc_id", byte_tokens(F.col("text")).alias("tokens"))
     return pack_items(mails, "doc_id", "tokens", capacities)
 
