@@ -246,5 +246,6 @@ def with_instant(
     spare = f"__{out}"
     while spare in kept:
         spare += "_"
-    parsed = frame.select(*kept, bound(trimmed(F.col(text)), read).alias(spare))
+    # exploded, although it is one value: a filter on the result then stays above, and no text is read twice
+    parsed = frame.select(*kept, F.explode(F.array(bound(trimmed(F.col(text)), read))).alias(spare))
     return parsed.select(*kept, F.col(f"{spare}.us").alias(f"{out}_us"), F.col(f"{spare}.notation").alias(f"{out}_notation"))
