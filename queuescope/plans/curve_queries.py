@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from queuescope.functions import calendar, temporal
 from queuescope.functions.timestamps import wall_us
-from queuescope.operators import asof, curves, features, model, reports, versions
+from queuescope.operators import asof, curves, features, flat_hours, model, reports, versions
 from queuescope.plans.facts import FACT, PREFIXES, facts, query
 from queuescope.session import cut, table
 
@@ -219,6 +219,29 @@ def q_wti(spark: SparkSession, d: str) -> DataFrame:
     return index.withColumns({c: F.round(c, 6) for c in ("wti", "min_actual", "max_actual")} | {"park_date": F.col("park_date").cast("string")})
 
 
+_WINDOW = f"""{FACT}, {_HOURS}, win AS (SELECT park_code, park_date, min(o) + 200 AS a, max(CASE WHEN c < o THEN c + 1440 ELSE c END) - 300 AS b FROM hrs WHERE park_code <> 'eu' GROUP BY ALL)"""
+
+
+@query(f"""WITH {_WINDOW} SELECT event_id FROM fact LEFT JOIN win USING (park_code, park_date)
+WHERE coalesce(date_diff('second', CAST(park_date AS TIMESTAMP), local_ts) // 60 BETWEEN a - 90 AND b + 90, TRUE)""")
+def q_open_window(spark: SparkSession, d: str) -> DataFrame:
+    """Readings at most 90 minutes outside their park's shortened hours."""
+    rows = facts(spark, d).withColumn("minute", F.floor((F.col("local_us") - F.unix_date("park_date") * F.lit(_DAY).cast("bigint")) / F.lit(60_000_000)))
+    hours = rows.where(F.col("park_code") != "eu").select("park_code", "park_date").distinct().withColumns({
+        "opening_minute": F.lit(483) + F.ascii("park_code") % 7 * 8,
+        "closing_minute": F.when(F.col("park_code").isin("tdl", "mk"), 60).otherwise(1320),
+    })
+    window = flat_hours.open_window(hours).withColumns({"first_minute": F.col("first_minute") + 200, "last_minute": F.col("last_minute") - 300})
+    return flat_hours.within_window(rows, window, "minute").select("event_id")
+
+
+@query(f"""WITH {FACT}, c AS (SELECT park_code, entity_code, count(*) AS n FROM fact WHERE wait_time_type = 'ACTUAL' GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY park_code ORDER BY n DESC, entity_code) AS k FROM c)
+SELECT park_code, count(*) AS n_entities, string_agg(CASE WHEN k <= 5 THEN entity_code END, ',' ORDER BY k) AS examples FROM r GROUP BY park_code""")
+def q_entities_with_actual(spark: SparkSession, d: str) -> DataFrame:
+    """Entities with actual readings per park."""
+    return flat_hours.entities_with(facts(spark, d), "ACTUAL").withColumn("examples", F.concat_ws(",", "examples"))
+
+
 # ---- features and models
 
 

@@ -18,6 +18,7 @@ def session(app: str = "queuescope", master: str = "local[*]", **conf: str) -> S
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
     )
     for key, value in conf.items():

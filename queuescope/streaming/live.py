@@ -25,9 +25,9 @@ def feed_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
 def to_readings(raw: DataFrame, mapping: DataFrame, prefix_of_park: dict[str, str], stale_hours: int = 24, as_of: str | None = None) -> DataFrame:
     """Posted readings of open rides; rides the mapping lacks get the park's prefix and their id as code.
 
-    ``mapping``: queue_times_id, park_code, entity_code.  Stale rows are marked, not dropped.
+    ``mapping``: ride_id, park_code, entity_code.  Stale rows are marked, not dropped.
     """
-    named = mapping.dropDuplicates(["queue_times_id", "park_code"]).select(F.col("queue_times_id").alias("id"), F.lower("park_code").alias("park_code"), "entity_code")
+    named = mapping.dropDuplicates(["ride_id", "park_code"]).select(F.col("ride_id").alias("id"), F.lower("park_code").alias("park_code"), "entity_code")
     prefix = F.create_map(*[F.lit(x) for pair in prefix_of_park.items() for x in pair])
     rides = flatten_feed(raw.withColumn("park_code", F.lower("park_code")))
     useful = rides.where(F.col("is_open") & F.col("wait_time").isNotNull() & F.col("last_updated").isNotNull() & ~F.coalesce(F.col("name").startswith("Get Lightning Lane"), F.lit(False)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from queuescope.functions import calendar, clean, parse, temporal
 from queuescope.functions.codes import park_date_of, park_of, zone_of_park
-from queuescope.operators import aggregates, curves, dedupe, features, model, reports, versions
+from queuescope.operators import aggregates, curves, dedupe, features, flat_hours, model, reports, versions
 
 
 def column(spark, values, kind, expression):
@@ -208,3 +208,21 @@ def test_models(spark):
     fitted = model.fit_boosted(frame, ["x"], "y", rounds=5, depth=2)
     got = {r["x"]: r["prediction"] for r in model.predict(fitted, spark.createDataFrame([(1.0,), (9.0,), (None,)], "x double"), ["x"]).collect()}
     assert got[1.0] < 25 < got[9.0] and got[0.0] < 25
+
+
+def test_flat_hours(spark):
+    schema = "park_code string, park_date string, opening_time string, closing_time string, opening_time_with_emh string, closing_time_with_emh_or_party string, emh_morning string, emh_evening string"
+    rows = [(" mk", "2024-01-01 ", "09:00", " ", None, None, "1.0", None), ("mk", "2024-01-02", "09:00", "22:00", "", "23:00", "0", "x")]
+    got = flat_hours.clean_hours(spark.createDataFrame(rows, schema)).collect()
+    default = "1999-01-01T00:00:00-08:00"
+    assert (got[0]["park_code"], got[0]["closing_time"], got[0]["opening_time_with_emh"], got[0]["closing_time_with_emh_or_party"], got[0]["emh_morning"]) == ("MK", default, default, default, True)
+    assert (got[1]["opening_time_with_emh"], got[1]["closing_time_with_emh_or_party"], got[1]["emh_evening"]) == ("09:00", "23:00", False)
+    assert [str(x) for x in column(spark, ["Donor: MK 2024-01-05", "Donor: MK", None], "string", flat_hours.donor_date_of)] == ["2024-01-05", "None", "None"]
+
+
+def test_horizon_is_filled_from_donors(spark):
+    known = spark.createDataFrame([("mk", date(2024, 1, 1), "A", 540, 1300), ("mk", date(2024, 1, 20), "B", 600, 1200), ("dl", date(2024, 3, 1), "A", 480, 1000)], "park_code string, park_date date, date_group_id string, opening_minute int, closing_minute int")
+    dates = spark.createDataFrame([(date(2024, 2, 1), "A"), (date(2024, 2, 2), "Z")], "park_date date, date_group_id string")
+    got = {(r["park_code"], str(r["park_date"])): (str(r["donor_date"]), r["opening_minute"], r["notes"]) for r in flat_hours.fill_horizon(dates, known).collect()}
+    assert got == {("mk", "2024-02-01"): ("2024-01-01", 540, "Donor: mk 2024-01-01"), ("mk", "2024-02-02"): ("2024-01-20", 600, "Donor: mk 2024-01-20")}
+    assert flat_hours.to_versions(known, 5).where("valid_until_us IS NULL AND version_type = 'official'").count() == 3

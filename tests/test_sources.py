@@ -90,7 +90,7 @@ def _ride(i, wait, at, is_open=True, name="R"):
 def test_live_stream_is_exactly_once(spark, tmp_path):
     inbox, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     inbox.mkdir()
-    mapping = spark.createDataFrame([(7, "MK", "MK101"), (7, "MK", "MK999")], "queue_times_id long, park_code string, entity_code string").limit(1)
+    mapping = spark.createDataFrame([(7, "MK", "MK101"), (7, "MK", "MK999")], "ride_id long, park_code string, entity_code string").limit(1)
     _payload(inbox, "a.json", "mk", [_ride(7, 30, "2024-01-01T15:00:00Z"), _ride(8, None, "2024-01-01T15:00:00Z")], [_ride(9, 10, "2024-01-01T08:00:00Z"), _ride(5, 1, "2024-01-01T08:00:00Z", False), _ride(6, 1, "2024-01-01T08:00:00Z", name="Get Lightning Lane X")])
     readings = lambda: live.to_readings(live.feed_stream(spark, str(inbox)), mapping, {"mk": "MK"}, as_of="2024-01-02 10:00:00")
     live.run_available(readings(), live.exact_sink(out), state)
