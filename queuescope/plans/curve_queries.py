@@ -74,10 +74,8 @@ def q_best_donor(spark: SparkSession, d: str) -> DataFrame:
     """The past date that lends its hours to each date."""
     parks = F.array(*map(F.lit, ("mk", "ep", "dl", "tdl")))
     day = F.col("o_orderdate").cast("date")
-    rows = table(spark, d, "orders").select(F.get(parks, (F.col("o_custkey") % 4).cast("int")).alias("park_code"), day.alias("park_date"), F.floor(F.dayofyear(day) / 9).cast("string").alias("date_group_id"), "o_orderkey")
-    donors = rows.where(F.col("o_orderkey") % 50 == 0).drop("o_orderkey").distinct()
-    targets = rows.where(F.col("o_orderkey") % 50 == 1).drop("o_orderkey").distinct()
-    found = versions.best_donor(targets, donors)
+    dates = table(spark, d, "orders").select(F.get(parks, (F.col("o_custkey") % 4).cast("int")).alias("park_code"), day.alias("park_date"), F.floor(F.dayofyear(day) / 9).cast("string").alias("date_group_id")).distinct()
+    found = versions.best_donor(dates, dates)
     return found.select("park_code", F.col("park_date").cast("string").alias("park_date"), F.col("donor_date").cast("string").alias("donor_date"), F.round("confidence", 9).alias("confidence"))
 
 
