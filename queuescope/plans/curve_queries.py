@@ -199,13 +199,13 @@ def q_backfill_curve(spark: SparkSession, d: str) -> DataFrame:
 e AS (SELECT DISTINCT entity_code, park_code FROM fact), days AS (SELECT DISTINCT park_code, park_date FROM fact WHERE park_date = DATE '2024-01-15')
 SELECT e.entity_code, g.time_slot, CAST(round_even(m.v / 5, 0) * 5 AS BIGINT) AS posted_predicted FROM grid g JOIN days USING (park_code, park_date) JOIN e ON e.park_code = g.park_code JOIN m ON m.pre = left(e.entity_code, 2) AND m.hour = g.slot_minute % 1440 // 60""")
 def q_forecast_curve(spark: SparkSession, d: str) -> DataFrame:
-    """Posted times of one date for every entity and slot, from medians per prefix and hour."""
+    """Posted times of every entity, date and slot, from medians per prefix and hour."""
     rows = facts(spark, d)
     hour = (F.floor(F.col("local_us") / F.lit(3_600_000_000)) % 24).cast("bigint")
     medians = rows.where(F.col("wait_time_type") == "POSTED").groupBy(F.substring("entity_code", 1, 2).alias("prefix"), hour.alias("hour")).agg(F.median("wait_time_minutes").alias("v"))
     entities = rows.select("entity_code", "park_code", F.substring("entity_code", 1, 2).alias("prefix")).distinct()
-    grid = _grid(spark, d).where(F.col("park_date") == F.lit("2024-01-15").cast("date")).withColumn("hour", (F.floor(F.col("slot_minute") / 60) % 24).cast("bigint"))
-    return grid.join(entities, "park_code").join(medians, ["prefix", "hour"]).select("entity_code", "time_slot", temporal.display_posted(F.col("v")).alias("posted_predicted"))
+    grid = _grid(spark, d).withColumn("hour", (F.floor(F.col("slot_minute") / 60) % 24).cast("bigint"))
+    return grid.join(entities, "park_code").join(medians, ["prefix", "hour"]).select("entity_code", F.col("park_date").cast("string").alias("park_date"), "time_slot", temporal.display_posted(F.col("v")).alias("posted_predicted"))
 
 
 @query(f"""WITH {_CURVES} SELECT g.park_code, CAST(g.park_date AS VARCHAR) AS park_date, g.time_slot, round(avg(c.value), 6) AS wti, count(c.value) AS n_entities, round(min(c.value), 6) AS min_actual, round(max(c.value), 6) AS max_actual
