@@ -268,7 +268,7 @@ def q_boosted_model(spark: SparkSession, d: str) -> DataFrame:
     ready = coded.select("event_id", "park_date", F.col("entity_code_code").cast("double").alias("entity"), temporal.minutes_since_start_of_day(F.col("local_us")).cast("double").alias("minute"), (F.weekday("park_date") + 0.0).alias("weekday"), F.col("wait_time_minutes").cast("double").alias("target"))
     split = cut(features.chronological_split(ready, "park_date"))
     names = ["entity", "minute", "weekday"]
-    fitted = model.fit_boosted(split, names, "target", rounds=5, depth=4)
+    fitted = model.fit_boosted(split, names, "target", rounds=2000, depth=6)
     return model.predict(fitted, split.where(F.col("split") == "test"), names).select("event_id", "target", "prediction")
 
 

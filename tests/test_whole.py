@@ -8,6 +8,7 @@ from statistics import median
 import duckdb
 import pytest
 
+from queuescope.operators import model
 from queuescope.plans import reference
 from queuescope.plans.facts import FACT
 
@@ -56,3 +57,29 @@ def test_forecast_curve_covers_every_date(spark, connection):
     assert len({day for _, day, _ in want}) > 1
     assert len(got) == len(want)
     assert dict(zip(zip(got["entity_code"], got["park_date"], got["time_slot"]), got["posted_predicted"])) == want
+
+
+def test_boosted_model_trains_as_production(spark, monkeypatch):
+    asked = {}
+
+    def fit(training, features, target, **how):
+        asked.update(how)
+        raise InterruptedError
+
+    monkeypatch.setattr(model, "fit_boosted", fit)
+    with pytest.raises(InterruptedError):
+        reference.QUERIES["q_boosted_model"](spark, str(DATA))
+    assert (asked["rounds"], asked["depth"], asked.get("patience", 50)) == (2000, 6, 50)
+
+
+def test_boosting_ends_after_the_best_validation_round(spark):
+    assert model.best_round([3.0, 2.0, 2.5, 1.0, 1.5, 1.2, 0.5], 2) == (3, True)
+    assert model.best_round([3.0, 2.0, 2.5, 1.0], 2) == (3, False)
+    data = [(float(i % 5), float(i % 5 * 10), "train") for i in range(100)] + [(float(i), 50.0 - i * 10, "validation") for i in range(5)]
+    frame = spark.createDataFrame(data, "x double, y double, split string").coalesce(1).cache()
+    whole = model.fit_boosted(frame.where("split = 'train'"), ["x"], "y", rounds=6, depth=2)
+    assert whole.stages[-1].getNumTrees == 6
+    errors = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(frame.where("split = 'validation'")), "absolute")
+    held = model.fit_boosted(frame, ["x"], "y", rounds=6, depth=2, patience=2)
+    assert held.stages[-1].getNumTrees == model.best_round(errors, 2)[0] + 1
+    assert held.stages[-1].treeWeights == whole.stages[-1].treeWeights[: held.stages[-1].getNumTrees]
