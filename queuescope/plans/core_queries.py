@@ -382,7 +382,7 @@ UNION ALL SELECT 'in_reply_to', count(*), count(*) FILTER (in_reply_to IS NULL),
 UNION ALL SELECT 'date_header', count(*), count(*) FILTER (date_header IS NULL), count(*) FILTER (date_header = '') FROM documents""")
 def q_profile(spark: SparkSession, d: str) -> DataFrame:
     """Nulls and empty texts per column."""
-    return reports.profile(table(spark, d, "documents").select("doc_id", "lang", "in_reply_to", "date_header"))
+    return reports.profile(table(spark, d, "documents"))
 
 
 @query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL""")

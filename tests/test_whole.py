@@ -83,3 +83,12 @@ def test_boosting_ends_after_the_best_validation_round(spark):
     held = model.fit_boosted(frame, ["x"], "y", rounds=6, depth=2, patience=2)
     assert held.stages[-1].getNumTrees == model.best_round(errors, 2)[0] + 1
     assert held.stages[-1].treeWeights == whole.stages[-1].treeWeights[: held.stages[-1].getNumTrees]
+
+
+def test_profile_covers_every_column(spark, connection):
+    got = {r["column_name"]: (r["n_rows"], r["n_null"], r["n_empty"]) for r in reference.QUERIES["q_profile"](spark, str(DATA)).collect()}
+    want = {}
+    for name, kind, *_ in connection.execute("DESCRIBE documents").fetchall():
+        empty = f"count(*) FILTER ({name} = '')" if kind == "VARCHAR" else "0"
+        want[name] = connection.execute(f"SELECT count(*), count(*) FILTER ({name} IS NULL), {empty} FROM documents").fetchone()
+    assert len(want) == 10 and got == want
