@@ -34,8 +34,6 @@ _BLOCK = re.compile(r"<\s*/?\s*(?:p|div|tr|table|ul|ol|li|h[1-6]|blockquote|pre|
 _DROPPED = re.compile(r"<\s*(script|style)\b.*?<\s*/\s*\1\s*>|<!--.*?-->", re.I | re.S)
 _TAG = re.compile(r"</?[A-Za-z][^<>]*>|<![A-Za-z][^<>]*>")
 
-#: Nesting deeper than this is read as plain text; it bounds recursion on hostile input.
-MAX_DEPTH = 20
 
 
 def split_head(text: str) -> tuple[str, str]:
@@ -93,27 +91,34 @@ def parts(text: str | None) -> list[Part]:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
     head, body = split_head(text)
     found: list[Part] = []
-    _walk(head, body, found, 0)
+    _walk(head, body, found)
     return found
 
 
-def _walk(head: str, body: str, found: list[Part], depth: int) -> None:
+def _walk(head: str, body: str, found: list[Part]) -> None:
+    waiting = [(head, body)]
+    while waiting:
+        _open(*waiting.pop(), found, waiting)
+
+
+def _open(head: str, body: str, found: list[Part], waiting: list[tuple[str, str]]) -> None:
     fields = {m[1].lower(): m[2] for m in reversed(list(_HEADER.finditer(head)))}
     said = fields.get("content-type", "text/plain")
     kind = said.split(";", 1)[0].strip().lower()
     params = {m[1].lower(): m[2] if m[2] is not None else m[3] for m in _PARAM.finditer(said)}
-    if kind.startswith("multipart/") and params.get("boundary") and depth < MAX_DEPTH:
+    if kind.startswith("multipart/") and params.get("boundary"):
         edge = "\n--" + params["boundary"]
         sections = ("\n" + body).split(edge)
+        inside = []
         for section in sections[1:]:
             if section.startswith("--"):
                 break
             # the rest of the boundary's own line is no content
-            inner_head, inner = split_head(section.split("\n", 1)[1] if "\n" in section else "")
-            _walk(inner_head, inner, found, depth + 1)
+            inside.append(split_head(section.split("\n", 1)[1] if "\n" in section else ""))
+        waiting.extend(reversed(inside))
         return
-    if kind == "message/rfc822" and depth < MAX_DEPTH:
-        _walk(*split_head(body), found, depth + 1)
+    if kind == "message/rfc822":
+        waiting.append(split_head(body))
         return
     if not kind.startswith("text/") and "/" in kind and not kind.startswith("multipart/"):
         return
