@@ -303,11 +303,9 @@ def fit_on(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", sam
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], names=["symbols"])
 
     chosen = documents.where(F.col(text).isNotNull()).select(text, F.xxhash64(doc_id).alias("__h"))
-    total = documents.count()
-    if total > 4 * sample_docs:
-        # a share of the hash range that holds some more than the sample, before the exact cut
-        chosen = chosen.where(F.pmod(F.col("__h"), F.lit(1_000_000)) < F.lit(int(2_000_000 * sample_docs / total) + 1))
-    chosen = chosen.orderBy("__h").limit(sample_docs).select(text)
+    # the last hash of the sample is found from hashes alone, so texts beyond it are never sorted
+    last = chosen.select("__h").orderBy("__h").limit(sample_docs).agg(F.max("__h")).scalar()
+    chosen = chosen.where(F.col("__h") <= last).orderBy("__h").limit(sample_docs).select(text)
     return fit([row[0] for row in spread(chosen).mapInArrow(shapes, "symbols array<int>").collect()])
 
 
