@@ -47,6 +47,9 @@ ZONE_OF_PROPERTY = {
 
 DEFAULT_ZONE = "America/New_York"
 
+#: All zones that parks and properties are in.
+ZONES = ("America/New_York", "America/Los_Angeles", "Asia/Tokyo")
+
 #: Properties that write the day before the month in slashed dates.
 DAY_FIRST_PROPERTIES = ("tdr",)
 

@@ -10,7 +10,8 @@ that do not map one to one have an explicit policy each:
 * ``nonexistent`` (never occurs): ``"after_gap"`` (first moment after the gap),
   ``"shift"`` (moved on by the gap's length) or ``"null"``
 
-Everything is built-in column expressions; no value leaves the JVM.
+Everything is built-in column expressions in steps that stay inside one
+generated stage; no value leaves the JVM.
 """
 
 from __future__ import annotations
@@ -25,36 +26,48 @@ from queuescope.constants import DEFAULT_DATETIME_US
 
 
 class Notation(NamedTuple):
-    """An anchored pattern and how its groups map to the fields of a time.
+    """An anchored pattern and how its groups are written as a time.
 
-    ``fields`` is year|month|day|hour|minute|second|fraction|zone|half-day|epoch in
-    the syntax of a regular expression's replacement.  ``order`` tells which of
-    the first two numbers of a slashed date is the month.
+    ``wall`` is the wall clock as ``Y-M-D h:m:s``, in the syntax of a regular expression's
+    replacement; it may end after ``m:`` where seconds are left out, and lacks the date
+    where ``needs_date`` says so.  ``day_first`` is the wall clock of texts that write
+    the day before the month.  ``month`` is the group that spells the month, which ``wall``
+    then writes as MM.
     """
 
     name: str
     pattern: str
-    fields: str
-    order: str = "ymd"
+    wall: str = ""
+    zone: str = ""
+    half: str = ""
+    epoch: str = ""
+    month: str = ""
+    day_first: str | None = None
     needs_date: bool = False
 
+    def rewritten(self, day_first: bool = False) -> str:
+        """The replacement: name, wall clock, zone, half of day, epoch and month, parted by bars."""
+        wall = self.day_first if day_first and self.day_first is not None else self.wall
+        return "|".join((self.name, wall, self.zone, self.half, self.epoch, self.month))
+
 
 _ZONE = r"[ ]?([Zz]|[+-]\d{2}:?\d{2})?"
-_BLANKS = r"^[\s 　﻿]+|[\s 　﻿]+$"
+#: Blanks of any kind: those of ASCII, the no-break and the wide space, and the byte-order mark.
+BLANKS = " \t\n\x0b\x0c\r\u00a0\u3000\ufeff"
 
 #: Tried in this order; the first pattern that matches the whole text decides.
 NOTATIONS: tuple[Notation, ...] = (
-    Notation("iso", rf"^(\d{{4}})-(\d{{2}})-(\d{{2}})[Tt ](\d{{2}}):(\d{{2}})(?::(\d{{2}})(?:[.,](\d{{1,9}}))?)?{_ZONE}$", "$1|$2|$3|$4|$5|$6|$7|$8||"),
-    Notation("epoch_seconds", r"^(\d{10})$", "|||||||||$1000000"),
-    Notation("epoch_millis", r"^(\d{13})$", "|||||||||$1000"),
-    Notation("epoch_micros", r"^(\d{16})$", "|||||||||$1"),
-    Notation("basic", r"^(\d{4})(\d{2})(\d{2})[Tt](\d{2})(\d{2})(\d{2})?([Zz]|[+-]\d{2}:?\d{2})?$", "$1|$2|$3|$4|$5|$6||$7||"),
-    Notation("year_slashes", rf"^(\d{{4}})/(\d{{1,2}})/(\d{{1,2}})[Tt ](\d{{1,2}}):(\d{{2}})(?::(\d{{2}})(?:\.(\d{{1,9}}))?)?{_ZONE}$", "$1|$2|$3|$4|$5|$6|$7|$8||"),
-    Notation("slashes", r"^(\d{1,2})/(\d{1,2})/(\d{4}),? (\d{1,2}):(\d{2})(?::(\d{2}))?[ ]?([AaPp][Mm])?$", "$3|$1|$2|$4|$5|$6|||$7|", "slashes"),
-    Notation("mail", r"^(?:[A-Za-z]{3}, )?(\d{1,2}) ([A-Za-z]{3}) (\d{4}) (\d{2}):(\d{2})(?::(\d{2}))?(?: ([+-]\d{4}|[A-Za-z]{1,4}))?$", "$3|$2|$1|$4|$5|$6||$7||"),
-    Notation("cjk", r"^(\d{4})年(\d{1,2})月(\d{1,2})日[ ]?(\d{1,2})(?::|時)(\d{2})分?(?::(\d{2}))?$", "$1|$2|$3|$4|$5|$6||||"),
-    Notation("clock", r"^(\d{1,2}):(\d{2})(?::(\d{2}))?[ ]?([AaPp][Mm])?$", "|||$1|$2|$3|||$4|", needs_date=True),
-    Notation("clock_digits", r"^(\d{2})(\d{2})$", "|||$1|$2|||||", needs_date=True),
+    Notation("iso", rf"^(\d{{4}}-\d{{2}}-\d{{2}})[Tt ](\d{{2}}:\d{{2}})(?::(\d{{2}})(?:[.,](\d{{1,9}}))?)?{_ZONE}$", "$1 $2:$3.$4", "$5"),
+    Notation("epoch_seconds", r"^(\d{10})$", epoch="$1000000"),
+    Notation("epoch_millis", r"^(\d{13})$", epoch="$1000"),
+    Notation("epoch_micros", r"^(\d{16})$", epoch="$1"),
+    Notation("basic", r"^(\d{4})(\d{2})(\d{2})[Tt](\d{2})(\d{2})(\d{2})?([Zz]|[+-]\d{2}:?\d{2})?$", "$1-$2-$3 $4:$5:$6", "$7"),
+    Notation("year_slashes", rf"^(\d{{4}})/(\d{{1,2}})/(\d{{1,2}})[Tt ](\d{{1,2}}:\d{{2}})(?::(\d{{2}})(?:\.(\d{{1,9}}))?)?{_ZONE}$", "$1-$2-$3 $4:$5.$6", "$7"),
+    Notation("slashes", r"^(\d{1,2})/(\d{1,2})/(\d{4}),? (\d{1,2}:\d{2})(?::(\d{2}))?[ ]?([AaPp][Mm])?$", "$3-$1-$2 $4:$5", half="$6", day_first="$3-$2-$1 $4:$5"),
+    Notation("mail", r"^(?:[A-Za-z]{3}, )?(\d{1,2}) ([A-Za-z]{3}) (\d{4}) (\d{2}:\d{2})(?::(\d{2}))?(?: ([+-]\d{4}|[A-Za-z]{1,4}))?$", "$3-MM-$1 $4:$5", "$6", month="$2"),
+    Notation("cjk", r"^(\d{4})年(\d{1,2})月(\d{1,2})日[ ]?(\d{1,2})(?::|時)(\d{2})分?(?::(\d{2}))?$", "$1-$2-$3 $4:$5:$6"),
+    Notation("clock", r"^(\d{1,2}:\d{2})(?::(\d{2}))?[ ]?([AaPp][Mm])?$", "$1:$2", half="$3", needs_date=True),
+    Notation("clock_digits", r"^(\d{2})(\d{2})$", "$1:$2:", needs_date=True),
 )
 
 # Abbreviations of zones and their minutes east of UTC.
@@ -93,7 +106,7 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def trimmed(text: Column) -> Column:
     """The text without blanks of any kind around it (tabs, no-break and wide spaces too)."""
-    return F.regexp_replace(text, _BLANKS, "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def lookup(mapping: dict[str, str], key: Column, default: str | None = None) -> Column:
@@ -103,14 +116,32 @@ def lookup(mapping: dict[str, str], key: Column, default: str | None = None) ->
     return found if default is None else F.coalesce(found, F.lit(default))
 
 
+def lookup_number(mapping: dict[str, int], key: Column) -> Column:
+    """The number of a small fixed mapping; null where the key is null or unknown."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair]), key)
+
+
 def is_exact(text: Column) -> Column:
     """Whether a text is already written as YYYY-MM-DDThh:mm:ss±hh:mm."""
     return F.coalesce(text.rlike(_EXACT), F.lit(False))
 
 
-def wall_us(instant_us: Column, zone: Column | str) -> Column:
-    """Wall-clock microseconds (as if UTC) of an instant in a zone."""
-    return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(instant_us), zone))
+def _by_zone(use: Callable[[Column | str], Column], zone: Column | str, zones: Sequence[str]) -> Column:
+    """``use(zone)``; each of the named zones is a literal in a branch of its own, so it is looked up once and not per row."""
+    chosen = F
+    for name in zones:
+        chosen = chosen.when(zone == name, use(F.lit(name)))
+    return chosen.otherwise(use(zone)) if zones else use(zone)
+
+
+def wall_us(instant_us: Column, zone: Column | str, zones: Sequence[str] = ()) -> Column:
+    """Wall-clock microseconds (as if UTC) of an instant in a zone; ``zones`` names the likely ones."""
+    return F.unix_micros(_by_zone(lambda z: F.from_utc_timestamp(F.timestamp_micros(instant_us), z), zone, zones))
+
+
+def _utc_us(wall: Column, zone: Column | str, zones: Sequence[str] = ()) -> Column:
+    """Instant of wall-clock microseconds; the earlier one of two, moved on by the gap's length inside a gap."""
+    return F.unix_micros(_by_zone(lambda z: F.to_utc_timestamp(F.timestamp_micros(wall), z), zone, zones))
 
 
 def instant_of_wall(wall: Column, zone: Column | str, ambiguous: str = "earlier", nonexistent: str = "after_gap") -> Column:
@@ -119,8 +150,12 @@ def instant_of_wall(wall: Column, zone: Column | str, ambiguous: str = "earlier"
     The first moment after a gap is searched among the quarter hours before the
     shifted time: changes of civil time happen on quarter hours.
     """
-    earlier = F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(wall), zone))
-    back = wall_us(earlier, zone)
+    earlier = _utc_us(wall, zone)
+    return _under_policies(wall, zone, earlier, wall_us(earlier, zone), ambiguous, nonexistent)
+
+
+def _under_policies(wall: Column, zone: Column | str, earlier: Column, back: Column, ambiguous: str, nonexistent: str) -> Column:
+    """The instant, given the earlier candidate and the wall clock that it reads back as."""
     if nonexistent == "null":
         gap = F.lit(None).cast("bigint")
     elif nonexistent == "shift":
@@ -151,7 +186,7 @@ def instant_of_wall(wall: Column, zone: Column | str, ambiguous: str = "earlier"
 def with_instant(
     frame: DataFrame,
     text: str,
-    zone: Column,
+    zone: Column | str,
     out: str,
     *,
     base_date: Column | None = None,
@@ -160,6 +195,7 @@ def with_instant(
     ambiguous: str = "earlier",
     nonexistent: str = "after_gap",
     day_starts_at: int = 6,
+    zones: Sequence[str] = (),
     default_us: int | None = DEFAULT_DATETIME_US,
 ) -> DataFrame:
     """Adds ``{out}_us`` (bigint, microseconds since 1970 UTC) and ``{out}_notation`` (string).
@@ -169,83 +205,66 @@ def with_instant(
     column) is what a bare clock time belongs to: times before
     ``day_starts_at`` fall on the next calendar day; without it bare times are
     no instants.  ``day_first`` (boolean column) reads slashed dates day first.
+    ``zones`` names the likely values of ``zone``; others work as well, at a lookup per row.
     Columns that carry the names of the results are replaced; all others stay.
     """
     tried = [n for n in notations if base_date is not None or not n.needs_date]
-    slashes = [n.name for n in tried if n.order == "slashes"]
     clocks = [n.name for n in tried if n.needs_date]
-    abbreviation = F.create_map(*[F.lit(x) for pair in ABBREVIATIONS.items() for x in pair])
-    first_is_day = F.coalesce(day_first, F.lit(False)) if day_first is not None else F.lit(False)
-
-    def named(clean: Column) -> Column:
-        found = F
-        for n in tried:
-            found = found.when(clean.rlike(n.pattern), F.lit(n.name))
-        return found
-
-    def canonical(clean: Column, name: Column) -> Column:
-        rewritten = F
-        for n in tried:
-            rewritten = rewritten.when(name == n.name, F.regexp_replace(clean, n.pattern, n.fields))
-        return F.split(rewritten, r"\|")
-
-    def fields(f: Column, name: Column) -> Column:
-        def number(i: int) -> Column:
-            return F.when(f[i] != "", f[i]).cast("int")
-
-        spelled = F.instr(F.lit(_MONTHS), F.lower(f[1]))
-        month = F.when(name == "mail", F.when(spelled % 3 == 1, ((spelled + 2) / 3).cast("int"))).otherwise(F.when(f[1] != "", f[1]).try_cast("int"))
-        swap = name.isin(slashes) & first_is_day
-        half, hour = F.upper(f[8]), number(3)
-        hour = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "PM", 12).otherwise(0))
-        zone_text = F.upper(f[7])
-        digits = F.regexp_replace(zone_text, "[^0-9]", "")
-        sign = F.when(zone_text.startswith("-"), -1).otherwise(1)
-        east = F.when(
-            zone_text.rlike("^[+-]"),
-            F.when(F.substring(digits, 3, 2).cast("int") < 60, sign * (F.substring(digits, 1, 2).cast("int") * 60 + F.substring(digits, 3, 2).cast("int"))),
-        ).otherwise(F.try_element_at(abbreviation, zone_text))
-        none = F.lit(0)
-        date = F.try_make_timestamp_ntz(number(0), F.when(swap, number(2)).otherwise(month), F.when(swap, month).otherwise(number(2)), none, none, none.cast("decimal(16,6)")).cast("date")
-        if base_date is not None:
-            date = F.when(name.isin(clocks), F.date_add(base_date, F.when(hour < day_starts_at, 1).otherwise(0))).otherwise(date)
-        return F.struct(
-            F.when(f[9] != "", f[9]).cast("bigint").alias("epoch"),
-            F.unix_date(date).alias("day"),
-            hour.alias("hour"),
-            number(4).alias("minute"),
-            F.coalesce(number(5), none).alias("second"),
-            F.rpad(F.substring(f[6], 1, 6), 6, "0").cast("int").alias("micros"),
-            (f[7] != "").alias("stated"),
-            east.alias("east"),
-        )
-
-    def instant(p: Column) -> Column:
-        in_day = (p["hour"] <= 23) & (p["minute"] <= 59) & (p["second"] <= 59)
-        wall = F.when(in_day, p["day"] * _long(_DAY) + p["hour"] * _long(_HOUR) + p["minute"] * _long(_MINUTE) + p["second"] * _long(_SECOND) + p["micros"])
-        at = (
-            F.when(p["epoch"].isNotNull(), p["epoch"])
-            .when(p["stated"], wall - p["east"] * _long(_MINUTE))
-            .otherwise(bound(wall, lambda w: F.when(w.isNotNull(), instant_of_wall(w, zone, ambiguous, nonexistent))))
-        )
-        if default_us is None:
-            return at
-        written = F.coalesce(p["day"] == default_us // _DAY, F.lit(False))
-        return bound(at, lambda a: F.when((a != default_us) & ~written, a))
-
-    def read(clean: Column) -> Column:
-        return bound(
-            named(clean),
-            lambda name: F.when(
-                name.isNotNull(),
-                F.struct(bound(canonical(clean, name), lambda f: bound(fields(f, name), instant)).alias("us"), name.alias("notation")),
-            ),
-        )
-
+    spelled = [n.name for n in tried if n.month]
     kept = [c for c in frame.columns if c not in (f"{out}_us", f"{out}_notation")]
-    spare = f"__{out}"
-    while spare in kept:
-        spare += "_"
+    lead = "__t"
+    while any(c.lower().startswith(lead) for c in kept):
+        lead += "_"
+
+    def at(name: str) -> Column:
+        return F.col(lead + name)
+
+    def step(rows: DataFrame, **values: Column) -> DataFrame:
+        """Adds values that later steps read more than once; the optimizer leaves such a projection apart."""
+        return rows.withColumns({lead + name: value for name, value in values.items()})
+
+    def replaced(n: Notation) -> Column:
+        plain = F.regexp_replace(at("clean"), n.pattern, n.rewritten())
+        return plain if day_first is None or n.day_first is None else F.when(day_first, F.regexp_replace(at("clean"), n.pattern, n.rewritten(True))).otherwise(plain)
+
+    rows = step(frame, clean=trimmed(F.col(text)), zone=zone if isinstance(zone, Column) else F.lit(zone))
+    # the first notation is the most frequent one: a changed text is a match, so its pattern runs once
+    rows = step(rows, first=replaced(tried[0]))
+    found = F.when(at("first") != at("clean"), at("first"))
+    for n in tried[1:]:
+        found = found.when(at("clean").rlike(n.pattern), replaced(n))
+    rows = step(rows, f=F.split(found.otherwise(F.lit(None).cast("string")), r"\|"))
+    name, wall, offset, half, epoch, month = (F.get(at("f"), F.lit(i)) for i in range(6))
+    if spelled:
+        place = F.instr(F.lit(_MONTHS), F.lower(month))
+        number = F.when(place % 3 == 1, ((place + 2) / 3).cast("int").cast("string")).otherwise("")
+        wall = F.when(name.isin(spelled), F.replace(wall, F.lit("MM"), number)).otherwise(wall)
+    if base_date is not None:
+        wall = F.when(name.isin(clocks), F.concat(base_date.cast("string"), F.lit(" "), wall)).otherwise(wall)
+    rows = step(rows, wall=wall, offset=offset)
+    # without seconds the text ends after the minutes
+    seconds = F.when(at("wall").endswith(":"), F.concat(at("wall"), F.lit("00Z"))).when(at("wall").endswith(":."), F.concat(at("wall").substr(F.lit(1), F.length(at("wall")) - 1), F.lit("00Z")))
+    rows = step(rows, clock=F.unix_micros(seconds.otherwise(F.concat(at("wall"), F.lit("Z"))).try_cast("timestamp")), half=half)
+    hour = F.pmod(F.floor(at("clock") / _long(_HOUR)), F.lit(24))
+    noon = F.when(hour.between(1, 12), at("clock") + (F.when(hour == 12, -12).otherwise(0) + F.when(F.upper(at("half")) == "PM", 12).otherwise(0)) * _long(_HOUR))
+    rows = step(rows, at=F.when(at("half") == "", at("clock")).otherwise(noon))
+    if base_date is not None:
+        early = F.pmod(at("at"), _long(_DAY)) < day_starts_at * _HOUR
+        rows = step(rows, at=F.when(name.isin(clocks) & early, at("at") + _long(_DAY)).otherwise(at("at")))
+    digits = F.translate(at("offset"), "+-:", "")
+    minutes = F.substring(digits, 3, 2).try_cast("int")
+    numeric = F.when(minutes < 60, F.when(at("offset").startswith("-"), -1).otherwise(1) * (F.substring(digits, 1, 2).try_cast("int") * 60 + minutes))
+    east = F.when(at("offset").rlike("^[+-]"), numeric).otherwise(lookup_number(ABBREVIATIONS, F.upper(at("offset"))))
+    rows = step(rows, local=F.when(at("offset") == "", at("at")))
+    rows = step(rows, earlier=_utc_us(at("local"), at("zone"), zones))
+    rows = step(rows, back=wall_us(at("earlier"), at("zone"), zones))
+    civil = _under_policies(at("local"), at("zone"), at("earlier"), at("back"), ambiguous, nonexistent)
+    instant = F.when(epoch != "", epoch.try_cast("bigint")).when(at("offset") == "", civil).otherwise(at("at") - east * _long(_MINUTE))
+    if default_us is not None:
+        rows = step(rows, instant=instant)
+        written = F.coalesce(F.floor(at("at") / _long(_DAY)) == default_us // _DAY, F.lit(False))
+        instant = F.when((at("instant") != default_us) & ~written, at("instant"))
     # exploded, although it is one value: a filter on the result then stays above, and no text is read twice
-    parsed = frame.select(*kept, F.explode(F.array(bound(trimmed(F.col(text)), read))).alias(spare))
-    return parsed.select(*kept, F.col(f"{spare}.us").alias(f"{out}_us"), F.col(f"{spare}.notation").alias(f"{out}_notation"))
+    value = F.struct(instant.alias("us"), name.alias("notation"))
+    parsed = rows.select(*kept, F.explode(F.array(value)).alias(lead))
+    return parsed.select(*kept, F.col(f"{lead}.us").alias(f"{out}_us"), F.col(f"{lead}.notation").alias(f"{out}_notation"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from queuescope.constants import FILLERS
+from queuescope.constants import FILLERS, ZONES
 from queuescope.functions.codes import code, zone_of_park
 from queuescope.functions.timestamps import trimmed, with_instant
 
@@ -34,7 +34,7 @@ def with_hours_instants(frame: DataFrame) -> DataFrame:
         .withColumn("park_day", text_date(F.col("park_date")))
     )
     for field in TIME_FIELDS:
-        base = with_instant(base, field, F.col("zone"), field.split("_")[0], base_date=F.col("park_day"))
+        base = with_instant(base, field, F.col("zone"), field.split("_")[0], base_date=F.col("park_day"), zones=ZONES)
     return base
 
 

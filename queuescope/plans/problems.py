@@ -20,11 +20,20 @@ def _hours(spark: SparkSession, d: str) -> DataFrame:
     return cut(with_hours_instants(spread(table(spark, d, "dimparkhours_with_donor"))))
 
 
+def _flags(spark: SparkSession, d: str) -> DataFrame:
+    """The flagged readings of all that report something new."""
+    readings = typed_readings(table(spark, d, "dedupe_keys"), ("ingest_seq", "source", "source_key", "kind", "observed_us", "minutes"))
+    return flag_spikes(readings.join(later_repeats(readings), "ingest_seq", "left_anti"), everything=False)
+
+
 def p1_spikes(spark: SparkSession, d: str) -> DataFrame:
-    """Every flagged reading with its reasons."""
-    readings = typed_readings(table(spark, d, "dedupe_keys"))
-    flags = flag_spikes(readings.join(later_repeats(readings), "ingest_seq", "left_anti"))
-    return flags.where(F.col("impossible") | F.col("disproportionate") | F.col("stuck"))
+    """Every implausible reading with its reasons."""
+    return _flags(spark, d).where(F.col("impossible") | F.col("disproportionate") | F.col("stuck"))
+
+
+def p1_chart(spark: SparkSession, d: str) -> DataFrame:
+    """Every reading beyond the control limits of its source's own chart."""
+    return _flags(spark, d).where("out_of_control").select("ingest_seq", "source", "minutes")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -77,7 +86,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_known_hours(spark: SparkSession, d: str) -> DataFrame:
     """Every reading with the park hours valid and known at its instant."""
-    return hours_as_known(typed_readings(table(spark, d, "dedupe_keys")), usable_hours(_hours(spark, d)))
+    return hours_as_known(typed_readings(table(spark, d, "dedupe_keys"), ("ingest_seq", "park", "observed_us")), usable_hours(_hours(spark, d)))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -85,4 +94,4 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_known_hours(spark, d).select("ingest_seq", "hours_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_spikes, p2_found, p2_instants, p4_found, p4_filled, p5_found, p5_history, p6_found, p6_known_hours)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_spikes, p1_chart, p2_found, p2_instants, p4_found, p4_filled, p5_found, p5_history, p6_found, p6_known_hours)}

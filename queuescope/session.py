@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,24 +34,39 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: the cluster's, or a local one where none is named (tests)."""
+    """The shared folder for cut lineage, as ``spark.checkpoint.dir`` names it.
+
+    Without that setting it is the folder already set on the context; where there
+    is neither, only a local master gets a temporary folder, as in tests: on a
+    cluster other machines could not read it, so that is an error.
+    """
     context = spark.sparkContext
     present = context.getCheckpointDir()
     if present is None:
         named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if named is None and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="queuescope-checkpoint-"))
         present = context.getCheckpointDir()
     return present
 
 
 def cut(frame: DataFrame) -> DataFrame:
-    """The frame with its lineage cut by a reliable checkpoint in the shared folder.
+    """The frame with its lineage cut: written as a table in the shared checkpoint folder, and read again.
 
-    For narrow intermediate tables that several branches of a plan read; losing an
-    executor loses none of it.
+    For narrow intermediate tables that several branches of a plan read: each reads
+    only its columns, and losing an executor loses none of it.  The table is
+    dropped when the application ends.
     """
-    ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    spark = frame.sparkSession
+    place = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    # types that a file cannot hold, and names that differ by case only, are left to a plain checkpoint
+    if any(kind in ("void", "variant") or kind.startswith("interval") for _, kind in frame.dtypes) or len({c.lower() for c in frame.columns}) < len(frame.columns):
+        return frame.checkpoint(eager=True)
+    frame.write.parquet(place)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(frame.schema).parquet(place)
 
 
 def spread(frame: DataFrame) -> DataFrame:

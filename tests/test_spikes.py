@@ -6,7 +6,7 @@ import random
 from statistics import median
 
 from queuescope.operators.readings import later_repeats, typed_readings
-from queuescope.operators.spikes import Limits, flag_spikes
+from queuescope.operators.spikes import Limits, chart, flag_spikes
 
 SCHEMA = "ingest_seq long, source string, kind string, observed_us long, minutes long"
 
@@ -59,8 +59,9 @@ def test_rules_over_blocks_of_any_size(spark):
         shuffled = rows[:]
         rng.shuffle(shuffled)
         frame = spark.createDataFrame(shuffled, SCHEMA)
-        for size in (64, 8192):
-            flags = flag_spikes(frame, Limits(block_rows=size, warmup_rows=16)).collect()
+        for size, everything in ((32, True), (64, False), (8192, False), (8192, True)):
+            flags = flag_spikes(frame, Limits(block_rows=size, warmup_rows=16), everything).collect()
+            assert not everything or len(flags) == sum(r[4] is not None and not (r[2] == "PRIORITY" and r[4] == 8888) for r in rows)
             got = {r["ingest_seq"] for r in flags if r["impossible"] or r["disproportionate"] or r["stuck"]}
             assert got == _expected(rows)
             assert all(r["suspected"] for r in flags if r["disproportionate"])
@@ -72,12 +73,43 @@ def test_empty_and_null_rows(spark):
     assert flag_spikes(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_the_chart_by_itself():
+    limits, far = Limits(), (float("inf"), float("-inf"))
+    calm = [60, 62, 58, 61, 59] * 40
+    fine = [True] * 400
+
+    def beyond(values):
+        return set(chart([float(v) for v in values], fine[: len(values)], 60.0, 3.0, *far, limits)[1].nonzero()[0].tolist())
+
+    assert beyond(calm) == set()
+    # a spike far below three medians plus 30 is seen, and does not move the chart
+    spiked = [*calm[:100], 110, *calm[101:]]
+    assert beyond(spiked) == {100}
+    # a lasting change of level is out of control at first and then becomes the new normal
+    shifted = beyond([*calm[:100], *[v + 40 for v in calm[:100]]])
+    assert 100 in shifted
+    assert max(shifted) < 160
+    # a slow drift never is
+    assert beyond([60 + i // 10 for i in range(400)]) == set()
+
+
+def test_flags_do_not_depend_on_homes(spark):
+    frame = spark.createDataFrame(_random(5), SCHEMA)
+    whole = {r["ingest_seq"]: r["out_of_control"] for r in flag_spikes(frame).collect()}
+    parted = {r["ingest_seq"]: r["out_of_control"] for r in flag_spikes(frame, Limits(block_rows=100, warmup_rows=90)).collect()}
+    assert whole.keys() == parted.keys()
+    assert sum(whole[k] != parted[k] for k in whole) <= 2
+    assert any(whole.values())
+
+
 def test_later_repeats_equal_brute_force(spark):
-    rng = random.Random(9)
-    rows = [(i, rng.choice(["A", "B"]), "POSTED", rng.randrange(0, 900) * 1_000_000, rng.choice([None, *range(-3, 8)])) for i in range(400)]
-    got = {r[0] for r in later_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
-    want = {b[0] for a in rows for b in rows if a[4] is not None and b[4] is not None and a[1] == b[1] and a[0] < b[0] and abs(a[3] - b[3]) <= 30_000_000 and abs(a[4] - b[4]) <= 1}
-    assert got == want
+    for seed, (seconds, minutes) in enumerate([(30, 1), (0, 0), (0, 3), (7, 0), (30, 2), (45, 5), (1, 1)]):
+        rng = random.Random(seed)
+        rows = [(i, rng.choice(["A", "B"]), "POSTED", rng.randrange(-450, 450) * 1_000_000, rng.choice([None, *range(-3, 8)])) for i in range(400)]
+        got = {r[0] for r in later_repeats(spark.createDataFrame(rows, SCHEMA), seconds, minutes, block_us=120_000_000).collect()}
+        reach = seconds * 1_000_000
+        want = {b[0] for a in rows for b in rows if a[4] is not None and b[4] is not None and a[1] == b[1] and a[0] < b[0] and abs(a[3] - b[3]) <= reach and abs(a[4] - b[4]) <= minutes}
+        assert got == want
 
 
 def test_typed_readings(spark):
