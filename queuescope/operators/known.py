@@ -52,9 +52,11 @@ def as_known(
     key or time have no version.
     """
     narrow = events.select(*keys, F.col(event_us).alias("at_us"), event_id).where(F.col("at_us").isNotNull()).dropna(subset=list(keys))
-    slices = narrow.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / slice_rows).cast("int").alias("__slices"))
-    repeated = changes.join(slices, list(keys)).select(*keys, F.explode(F.sequence(F.lit(0), F.col("__slices") - 1)).alias("__slice"), "at_us", F.lit(None).cast("bigint").alias(event_id), F.lit(1).alias("__change"))
-    dealt = narrow.join(slices, list(keys)).select(*keys, F.pmod(F.xxhash64(event_id), F.col("__slices")).cast("int").alias("__slice"), "at_us", event_id, F.lit(0).alias("__change"))
+    # only keys above the slice size are dealt out, so this table has a row for at most every slice_rows events
+    hot = cut(narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > slice_rows).select(*keys, F.ceil(F.col("__n") / slice_rows).cast("int").alias("__slices")))
+    slices = F.coalesce("__slices", F.lit(1))
+    repeated = changes.join(hot, list(keys), "left").select(*keys, F.explode(F.sequence(F.lit(0), slices - 1)).alias("__slice"), "at_us", F.lit(None).cast(narrow.schema[event_id].dataType).alias(event_id), F.lit(1).alias("__change"))
+    dealt = narrow.join(hot, list(keys), "left").select(*keys, F.pmod(F.xxhash64(event_id), slices).cast("int").alias("__slice"), "at_us", event_id, F.lit(0).alias("__change"))
     together = Window.partitionBy(*keys, "__slice").orderBy("at_us", F.col("__change").desc()).rowsBetween(Window.unboundedPreceding, 0)
     numbered = repeated.unionByName(dealt).withColumn("version_no", F.sum("__change").over(together).cast("bigint"))
     return numbered.where((F.col("__change") == 0) & (F.col("version_no") > 0)).select(event_id, *keys, "version_no")
@@ -66,7 +68,8 @@ def hours_as_known(readings: DataFrame, hours: DataFrame) -> DataFrame:
     Of the rows whose valid_from and created_at have both passed, the first
     version_type in the fixed order wins, in it the latest valid_from, then the
     latest created_at, then the lowest hours_id.  Readings without such a row
-    do not appear.
+    do not appear.  ``park_day`` is the readings' operational date; it is
+    computed where it is absent.
     """
     kind = F.lower(F.trim("version_type"))
     priority = F.when(kind == VERSION_ORDER[0], 0)
@@ -74,13 +77,14 @@ def hours_as_known(readings: DataFrame, hours: DataFrame) -> DataFrame:
         priority = priority.when(kind == name, -i)
     known = F.when(F.col("valid_from").isNotNull() & F.col("created_at").isNotNull() & priority.isNotNull(), F.unix_micros(F.greatest("valid_from", "created_at")))
     rank = F.struct(priority.alias("p"), F.unix_micros("valid_from").alias("v"), F.unix_micros("created_at").alias("c"), (-F.col("hours_id")).alias("i"))
-    rows = hours.withColumn("__day", F.date_format("park_day", "yyyy-MM-dd"))
-    keyed = rows.drop("park_date").withColumnRenamed("__day", "park_date")
-    changes = cut(version_changes(keyed, ["park", "park_date"], known, rank, "hours_id"))
-    events = readings.select("ingest_seq", F.upper("park").alias("park"), "observed_us").withColumn("park_date", F.date_format(park_date_of(F.col("observed_us"), zone_of_park(F.col("park"))), "yyyy-MM-dd"))
-    numbered = as_known(events, ["park", "park_date"], "observed_us", "ingest_seq", changes)
-    wide = changes.join(keyed.drop("park", "park_date"), "hours_id").drop("at_us")
-    return numbered.join(wide, ["park", "park_date", "version_no"]).select(
-        "ingest_seq", "park", "park_date", "version_no", "hours_id", "version_type", "opening_us", "closing_us",
+    keys = ["park", "park_day"]
+    changes = cut(version_changes(hours, keys, known, rank, "hours_id"))
+    park = F.upper("park")
+    if "park_day" not in readings.columns:
+        readings = readings.withColumn("park_day", park_date_of(F.col("observed_us"), zone_of_park(park)))
+    numbered = as_known(readings.select("ingest_seq", park.alias("park"), "park_day", "observed_us"), keys, "observed_us", "ingest_seq", changes)
+    wide = changes.join(hours.drop(*keys), "hours_id").drop("at_us")
+    return numbered.join(wide, [*keys, "version_no"]).select(
+        "ingest_seq", "park", F.col("park_day").cast("string").alias("park_date"), "version_no", "hours_id", "version_type", "opening_us", "closing_us",
         F.coalesce("emh_morning", F.lit(False)).alias("emh_morning"), F.coalesce("emh_evening", F.lit(False)).alias("emh_evening"),
     )

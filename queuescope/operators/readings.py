@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from queuescope.constants import DAY_FIRST_PROPERTIES, DEFAULT_ZONE, ZONE_OF_PROPERTY, ZONES
-from queuescope.functions.codes import code, park_of_code
+from queuescope.functions.codes import code, park_date_of, park_of_code, zone_of_park
 from queuescope.functions.timestamps import lookup, trimmed, with_instant
 from queuescope.session import cut, spread
 
@@ -29,20 +29,22 @@ def with_source_key(readings: DataFrame) -> DataFrame:
     return readings if "source_key" in readings.columns else readings.withColumn("source_key", F.xxhash64("source"))
 
 
-def typed_readings(frame: DataFrame, columns: Sequence[str] = ("ingest_seq", "batch_id", "source", "source_key", "entity", "kind", "park", "observed_us", "minutes")) -> DataFrame:
+def typed_readings(frame: DataFrame, columns: Sequence[str] = ("ingest_seq", "batch_id", "source", "source_key", "entity", "kind", "park", "park_day", "observed_us", "minutes")) -> DataFrame:
     """Readings with an instant and an entity; ``columns`` are those to be written.
 
     ``source`` is entity and wait_time_type, trimmed and in upper case, ``source_key`` its
-    64-bit hash.  A null type is a source of its own; minutes may be null.
+    64-bit hash, ``park_day`` the operational date at the park.  A null type is a source of its
+    own; minutes may be null.
     """
     raw = frame.where(F.col("entity_code").isNotNull()).select("ingest_seq", "batch_id", "prop", "entity_code", "observed_at", "wait_time_type", "wait_time_minutes")
     coded = with_reading_instant(spread(raw)).withColumns({"entity": code(F.col("entity_code")), "kind": code(F.col("wait_time_type"))})
+    coded = coded.withColumn("park", park_of_code(F.col("entity")))
     source = F.concat_ws("|", "entity", "kind")
     # cut before the filter: pushed down, it would parse every text a second time
     typed = cut(
         coded.select(
             "ingest_seq", "batch_id", source.alias("source"), F.xxhash64(source).alias("source_key"), "entity", "kind",
-            park_of_code(F.col("entity")).alias("park"), "observed_us", F.col("wait_time_minutes").cast("bigint").alias("minutes"),
+            "park", park_date_of(F.col("observed_us"), zone_of_park(F.col("park"))).alias("park_day"), "observed_us", F.col("wait_time_minutes").cast("bigint").alias("minutes"),
         ).select(*dict.fromkeys([*columns, "observed_us"]))
     )
     return typed.where(F.col("observed_us").isNotNull()).select(*columns)

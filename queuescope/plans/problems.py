@@ -86,7 +86,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_known_hours(spark: SparkSession, d: str) -> DataFrame:
     """Every reading with the park hours valid and known at its instant."""
-    return hours_as_known(typed_readings(table(spark, d, "dedupe_keys"), ("ingest_seq", "park", "observed_us")), usable_hours(_hours(spark, d)))
+    return hours_as_known(typed_readings(table(spark, d, "dedupe_keys"), ("ingest_seq", "park", "park_day", "observed_us")), usable_hours(_hours(spark, d)))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
