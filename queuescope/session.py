@@ -51,22 +51,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return present
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's name in the shared checkpoint folder; what is written there is dropped when the application ends."""
+    place = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return place
+
+
 def cut(frame: DataFrame) -> DataFrame:
-    """The frame with its lineage cut: written as a table in the shared checkpoint folder, and read again.
+    """The frame with its lineage cut: written as a table in the shared folder, and read again.
 
     For narrow intermediate tables that several branches of a plan read: each reads
-    only its columns, and losing an executor loses none of it.  The table is
-    dropped when the application ends.
+    only its columns, and losing an executor loses none of it.
     """
-    spark = frame.sparkSession
-    place = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
     # types that a file cannot hold, and names that differ by case only, are left to a plain checkpoint
     if any(kind in ("void", "variant") or kind.startswith("interval") for _, kind in frame.dtypes) or len({c.lower() for c in frame.columns}) < len(frame.columns):
+        ensure_checkpoint_dir(frame.sparkSession)
         return frame.checkpoint(eager=True)
-    frame.write.parquet(place)
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(frame.schema).parquet(place)
+    place = shared_folder(frame.sparkSession, "cut")
+    frame.write.mode("overwrite").parquet(place)
+    return frame.sparkSession.read.schema(frame.schema).parquet(place)
 
 
 def spread(frame: DataFrame) -> DataFrame:
