@@ -6,6 +6,7 @@ from queuescope.plans.oracle import _PAIRS, READINGS
 
 SQL: dict[str, str] = {
     "p3_found": f"WITH {READINGS} {_PAIRS}",
+    "p3_repeats": f"WITH {READINGS} SELECT ingest_seq_b AS ingest_seq, min(ingest_seq_a) AS repeats_seq FROM ({_PAIRS}) GROUP BY 1",
     "p7_within_bound": """SELECT dategroupid, hour, count(*) AS n, TRUE AS within FROM posted_aggregates
 WHERE posted_median IS NOT NULL AND NOT isnan(posted_median) GROUP BY dategroupid, hour""",
     "p8_found": """SELECT DISTINCT s.capacity_tokens, d.doc_id FROM documents d, container_specs s WHERE octet_length(encode(d.text)) > s.capacity_tokens""",

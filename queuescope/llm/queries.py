@@ -2,22 +2,42 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queuescope.llm.chunks import near_pairs, reading_chunks
+from queuescope.llm.chunks import ChunkStore, repeated
 from queuescope.llm.leak import leaks
 from queuescope.llm.packing import byte_tokens, containers, pack_items
 from queuescope.llm.quality import quality
 from queuescope.llm.quantiles import DEFAULT_K, merge, percentiles, rank_error, sketches
 from queuescope.operators.readings import typed_readings
-from queuescope.session import cut, table
+from queuescope.session import shared_folder, table
+
+
+#: Loads in which p3 takes the batches, in order of batch_id; the pairs do not depend on it.
+LOADS = 3
+
+
+def _pairs(spark: SparkSession, d: str, loads: int = LOADS) -> DataFrame:
+    """All pairs, load by load through a store in the shared folder that begins empty."""
+    rows = typed_readings(table(spark, d, "dedupe_keys"), ("ingest_seq", "batch_id", "source", "source_key", "observed_us", "minutes"))
+    store = ChunkStore(spark, shared_folder(spark, "chunks"))
+    low, high = rows.agg(F.min("batch_id"), F.max("batch_id")).first()
+    number = F.coalesce(F.floor((F.col("batch_id") - F.lit(low)) * loads / F.lit(high - low + 1)), F.lit(0)) if low is not None else F.lit(0)
+    found = [store.accept(k, rows.where(number == k)) for k in range(loads)]
+    return reduce(lambda a, b: a.unionByName(b), found)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """All pairs of readings that report one thing, by their shared chunks."""
-    chunks = cut(reading_chunks(typed_readings(table(spark, d, "dedupe_keys"))))
-    return near_pairs(chunks, chunks).select("ingest_seq_a", "ingest_seq_b")
+    return _pairs(spark, d).select("ingest_seq_a", "ingest_seq_b")
+
+
+def p3_repeats(spark: SparkSession, d: str) -> DataFrame:
+    """Every reading that reports a known one again, with the first it repeats."""
+    return repeated(_pairs(spark, d))
 
 
 def p7_by_build(spark: SparkSession, d: str) -> DataFrame:
@@ -79,4 +99,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_quality(spark, d).where(F.col("kind") != "prose").select("doc_id", "kind")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p7_percentiles, p7_by_build, p7_within_bound, p8_found, p8_containers, p9_found, p9_leaks, p10_found, p10_quality)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_repeats, p7_percentiles, p7_by_build, p7_within_bound, p8_found, p8_containers, p9_found, p9_leaks, p10_found, p10_quality)}
