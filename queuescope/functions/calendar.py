@@ -118,12 +118,14 @@ def calendar_columns(spine: DataFrame) -> DataFrame:
         "day_of_year": F.dayofyear(d).cast("bigint"),
         "month_name": F.date_format(d, "MMMM"),
         "month_mmm": F.date_format(d, "MMM"),
+        "month_m": F.substring(F.date_format(d, "MMM"), 1, 1),
         "day_of_week_name": F.date_format(d, "EEEE"),
         "day_of_week_ddd": F.date_format(d, "EEE"),
+        "day_of_week_d": F.substring(F.date_format(d, "EEE"), 1, 1),
         "month_year": F.date_format(d, "MMM-yyyy"),
         "quarter_year": F.concat(F.lit("Q"), F.quarter(d).cast("string"), F.lit("-"), F.year(d).cast("string")),
         "year_yy": F.concat(F.lit("'"), F.date_format(d, "yy")),
-        "output_file_label": F.concat(F.date_format(d, "yyyy"), F.lit("_"), F.upper(F.date_format(d, "MMM")), F.lit("ON")),
+        "output_file_label": F.concat(F.date_format(d, "yyyy_MM"), F.upper(F.date_format(d, "MMM"))),
     })
 
 
@@ -153,14 +155,48 @@ def holiday_code(d: Column, sunday: Column) -> Column:
     return found.otherwise("NONE")
 
 
+# Name of each holiday code; all others are "None".
+NAME_OF_HOLIDAY = {
+    "NYD": "New Year's Day",
+    "MLK": "Martin Luther King Jr. Day",
+    "PRS": "Presidents' Day",
+    "MGR": "Mardi Gras",
+    "PMP": "Presidents' Day / Mardi Gras (Presidents' Day)",
+    "PMM": "Presidents' Day / Mardi Gras (Mardi Gras)",
+    "ASH": "Ash Wednesday",
+    "GFR": "Good Friday",
+    "EST": "Easter Saturday",
+    "ESS": "Easter Sunday",
+    "ESM": "Easter Monday",
+    "MEM": "Memorial Day",
+    "IND": "Independence Day",
+    "LAB": "Labor Day",
+    "COL": "Columbus Day",
+    "HAL": "Halloween",
+    "NJC": "Jersey Week",
+    "VET": "Veterans Day",
+    "THK": "Thanksgiving",
+    "CME": "Christmas Eve",
+    "CMD": "Christmas Day",
+    "BOX": "Boxing Day",
+    "NYE": "New Year's Eve",
+}
+
+
+def holiday_name(code: Column) -> Column:
+    """The name of a holiday code; None (as text) where there is no holiday."""
+    named = F.create_map(*[F.lit(x) for pair in NAME_OF_HOLIDAY.items() for x in pair])
+    return F.coalesce(F.try_element_at(named, code), F.lit("None"))
+
+
 def with_holidays(spine: DataFrame) -> DataFrame:
-    """Adds holidaycode; Presidents' Day and a Mardi Gras on the next date become one pair."""
+    """Adds holidaycode and holidayname; Presidents' Day and a Mardi Gras on the next date become one pair."""
     by_year = Window.partitionBy(F.year("park_date")).orderBy("park_date")
     dated = spine.withColumn("__easter", easter(F.year("park_date")))
     raw = dated.withColumn("__code", holiday_code(F.col("park_date"), F.col("__easter")))
     pair_first = (F.col("__code") == "PRS") & (F.lead("__code").over(by_year) == "MGR")
     pair_second = (F.col("__code") == "MGR") & (F.lag("__code").over(by_year) == "PRS")
-    return raw.withColumn("holidaycode", F.when(pair_first, "PMP").when(pair_second, "PMM").otherwise(F.col("__code"))).drop("__code", "__easter")
+    return raw.withColumn("holidaycode", F.when(pair_first, "PMP").when(pair_second, "PMM").otherwise(F.col("__code"))).withColumn("holidayname", holiday_name(F.col("holidaycode"))).drop("__code", "__easter")
 
 
 def with_date_group(spine: DataFrame) -> DataFrame:

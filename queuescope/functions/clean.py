@@ -64,7 +64,48 @@ def columns_matching(frame: DataFrame, wanted: Sequence[str], unwanted: Sequence
     return [c for c in frame.columns if any(w in c.upper() for w in wanted) and not any(u in c.upper() for u in unwanted)]
 
 
-def clean_entities(frame: DataFrame, opened_by_park: dict[str, str], opened: str = "1955-07-17", extinct: str = "2099-01-01") -> DataFrame:
+# Opening date of each park.
+OPENED_BY_PARK = {
+    "mk": "1971-10-01",
+    "ep": "1982-10-01",
+    "hs": "1989-05-01",
+    "ak": "1998-04-22",
+    "dl": "1955-07-17",
+    "ca": "2001-02-08",
+    "tdl": "1983-04-15",
+    "tds": "2001-09-04",
+    "uf": "1990-06-07",
+    "ia": "1999-05-28",
+    "eu": "2025-06-01",
+    "ush": "1964-07-15",
+}
+# Opening date where the park is unknown, extinction date of what still stands.
+OPENED, EXTINCT = "1955-07-17", "2099-01-01"
+# Parts of the names of flag columns of the day table, and of names that are none.
+FLAG_NAMES = ("MORN", "EVE", "YEST", "TOM", "PRDDAY", "PRDNGT", "FIREWK", "SHWNGT", "FIREWKS", "OPTIMIZERS")
+NO_FLAG_NAMES = ("OPEN", "CLOSE", "T1", "T2", "HOURS", "HOURSEMH", "DT1", "DT2", "NT1", "NT2")
+
+
+def clean_events(frame: DataFrame) -> DataFrame:
+    """The event dimension: codes in one case, names trimmed (empty ones null), ticket flag; columns that are absent stay so."""
+    rows = rename_if_absent(frame, {"property_abbrev": "property_code"})
+    cleaned = {"property_code": F.lower(F.trim("property_code")), "event_abbreviation": F.upper(F.trim("event_abbreviation")), "event_code": text(F.col("event_code"), "upper"), "event_name": text(F.col("event_name"))}
+    if "event_hard_ticket" in rows.columns:
+        cleaned["event_hard_ticket"] = F.col("event_hard_ticket") if dict(rows.dtypes)["event_hard_ticket"] == "boolean" else number_flag(F.col("event_hard_ticket"))
+    return rows.withColumns({c: v for c, v in cleaned.items() if c in rows.columns})
+
+
+def clean_metatable(frame: DataFrame) -> DataFrame:
+    """The day table: codes in one case, dates, flag columns by the pattern of their names, all other texts trimmed."""
+    rows = rename_if_absent(frame, {"park": "park_code", "date": "park_date", "property_abbrev": "property_code"})
+    kinds = dict(rows.dtypes)
+    cleaned = {c: text(F.col(c)) for c, kind in kinds.items() if kind == "string"}
+    cleaned |= {c: flag(F.col(c).cast("string")) for c in columns_matching(rows, FLAG_NAMES, NO_FLAG_NAMES) if kinds[c] != "boolean"}
+    own = {"park_code": text(F.col("park_code"), "upper"), "property_code": text(F.col("property_code"), "lower"), "park_date": date(F.col("park_date")).cast("string")}
+    return rows.withColumns(cleaned | {c: v for c, v in own.items() if c in kinds})
+
+
+def clean_entities(frame: DataFrame, opened_by_park: dict[str, str] = OPENED_BY_PARK, opened: str = OPENED, extinct: str = EXTINCT) -> DataFrame:
     """The attraction dimension: codes, dates with defaults, flags, impossible numbers nulled."""
     park = text(F.col("park_code"), "lower")
     by_park = F.create_map(*[F.lit(x) for pair in (opened_by_park or {"": opened}).items() for x in pair])

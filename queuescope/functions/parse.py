@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from queuescope.constants import SOLD_OUT
+from queuescope.functions.codes import code
+from queuescope.functions.temporal import wall_clock_us
+from queuescope.functions.timestamps import instant_of_wall
 
 
 def unpivot_standby(frame: DataFrame, posted: str = "submitted_posted_time", actual: str = "submitted_actual_time", low: int = 0, high: int = 1000) -> DataFrame:
@@ -84,3 +87,28 @@ def zone_of_path(path: Column) -> Column:
     from queuescope.operators.readings import zone_of_property
 
     return zone_of_property(F.regexp_extract(F.lower(path), r"(?:wait_times|fastpass_times)/([^/]+)/", 1))
+
+
+def priority_rows(frame: DataFrame, zone: Column) -> DataFrame:
+    """Raw return-time rows (``PRIORITY_SCHEMA``) as readings: entity_code, observed_us, wait_time_type, wait_time_minutes.
+
+    Codes are trimmed and in upper case; the observation is local time in ``zone``.  Rows
+    without a code, a possible time or minutes are dropped.
+    """
+    hour, minute = split_compact(F.col("FHOUR"))
+    minute = F.coalesce(minute, F.col("FMIN"), F.lit(0))
+    seconds = F.lit(0).cast("decimal(16,6)")
+    wall = wall_clock_us(F.try_make_timestamp_ntz(F.col("FYEAR"), F.col("FMONTH"), F.col("FDAY"), hour, minute, seconds))
+    rows = frame.select(
+        F.nullif(code(F.col("FATTID")), F.lit("")).alias("entity_code"),
+        instant_of_wall(wall, zone).alias("observed_us"),
+        F.lit("PRIORITY").alias("wait_time_type"),
+        priority_minutes(F.col("FYEAR"), F.col("FMONTH"), F.col("FDAY"), F.col("FHOUR"), F.col("FMIN"), F.col("FWINHR"), F.col("FWINMIN")).alias("wait_time_minutes"),
+    )
+    return rows.dropna(subset=["entity_code", "observed_us", "wait_time_minutes"])
+
+
+def clock_text(text: Column, default: str = "09:00") -> Column:
+    """HH:MM of a date-time or clock text; the default where it holds none."""
+    found = F.regexp_extract(F.coalesce(text, F.lit("")), r"(?:^|[T ])(\d{2}:\d{2})", 1)
+    return F.coalesce(F.nullif(found, F.lit("")), F.lit(default))

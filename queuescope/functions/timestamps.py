@@ -104,6 +104,15 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def _apart(value: Column) -> Column:
+    """The value itself, in a form that ends a generated stage.
+
+    Too long a generated method is never compiled by the JVM; a step that is not generated
+    code keeps the stages before and after it short.
+    """
+    return bound(value, lambda v: v)
+
+
 def trimmed(text: Column) -> Column:
     """The text without blanks of any kind around it (tabs, no-break and wide spaces too)."""
     return F.btrim(text, F.lit(BLANKS))
@@ -241,7 +250,7 @@ def with_instant(
         wall = F.when(name.isin(spelled), F.replace(wall, F.lit("MM"), number)).otherwise(wall)
     if base_date is not None:
         wall = F.when(name.isin(clocks), F.concat(base_date.cast("string"), F.lit(" "), wall)).otherwise(wall)
-    rows = step(rows, wall=wall, offset=offset)
+    rows = step(rows, wall=wall, offset=_apart(offset))
     # without seconds the text ends after the minutes
     seconds = F.when(at("wall").endswith(":"), F.concat(at("wall"), F.lit("00Z"))).when(at("wall").endswith(":."), F.concat(at("wall").substr(F.lit(1), F.length(at("wall")) - 1), F.lit("00Z")))
     rows = step(rows, clock=F.unix_micros(seconds.otherwise(F.concat(at("wall"), F.lit("Z"))).try_cast("timestamp")), half=half)
@@ -251,11 +260,11 @@ def with_instant(
     if base_date is not None:
         early = F.pmod(at("at"), _long(_DAY)) < day_starts_at * _HOUR
         rows = step(rows, at=F.when(name.isin(clocks) & early, at("at") + _long(_DAY)).otherwise(at("at")))
-    digits = F.translate(at("offset"), "+-:", "")
-    minutes = F.substring(digits, 3, 2).try_cast("int")
-    numeric = F.when(minutes < 60, F.when(at("offset").startswith("-"), -1).otherwise(1) * (F.substring(digits, 1, 2).try_cast("int") * 60 + minutes))
-    east = F.when(at("offset").rlike("^[+-]"), numeric).otherwise(lookup_number(ABBREVIATIONS, F.upper(at("offset"))))
-    rows = step(rows, local=F.when(at("offset") == "", at("at")))
+    # a numeric offset is a sign, two digits, perhaps a colon, and two digits
+    sign = F.when(at("offset").startswith("-"), -1).when(at("offset").startswith("+"), 1)
+    rows = step(rows, sign=sign, minutes=F.substring(at("offset"), -2, 2).try_cast("int"), local=_apart(F.when(at("offset") == "", at("at"))))
+    numeric = F.when(at("minutes") < 60, at("sign") * (F.substring(at("offset"), 2, 2).try_cast("int") * 60 + at("minutes")))
+    east = F.when(at("sign").isNotNull(), numeric).otherwise(lookup_number(ABBREVIATIONS, F.upper(at("offset"))))
     rows = step(rows, earlier=_utc_us(at("local"), at("zone"), zones))
     rows = step(rows, back=wall_us(at("earlier"), at("zone"), zones))
     civil = _under_policies(at("local"), at("zone"), at("earlier"), at("back"), ambiguous, nonexistent)

@@ -63,6 +63,24 @@ def needs_modeling(index: DataFrame, modeled: DataFrame, *, min_age_us: int = 0,
     return joined.where(stale)
 
 
+def mark_modeled(modeled: DataFrame, done: DataFrame, at_us: int) -> DataFrame:
+    """The table of last models (entity_code, last_modeled_us) after the entities in ``done`` were modelled at a time; an older mark never replaces a newer one."""
+    marks = done.select("entity_code").distinct().withColumn("last_modeled_us", F.lit(at_us).cast("bigint"))
+    return modeled.select("entity_code", "last_modeled_us").unionByName(marks).groupBy("entity_code").agg(F.max("last_modeled_us").alias("last_modeled_us"))
+
+
+def latest_first(index: DataFrame) -> DataFrame:
+    """The index in order of its entities' latest reading, newest first."""
+    return index.orderBy(F.col("latest_observed_us").desc_nulls_last(), "entity_code")
+
+
+def with_index(entities: DataFrame, index: DataFrame) -> DataFrame:
+    """The entity list with each one's counts and latest reading; entities without readings have zero counts."""
+    counts = ("row_count", "actual_count", "posted_count", "priority_count")
+    joined = entities.join(index, "entity_code", "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in counts})
+
+
 def sample(frame: DataFrame, key: str, size: int) -> DataFrame:
     """A repeatable sample: the ``size`` rows of lowest key hash."""
     return frame.orderBy(F.xxhash64(key), key).limit(size)

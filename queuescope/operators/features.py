@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from queuescope.constants import ZONES
+from queuescope.functions.codes import park_of
+from queuescope.functions.temporal import geometric_decay, minutes_since_start_of_day
+from queuescope.functions.timestamps import wall_us
+from queuescope.operators.aggregates import exact_medians
+
 
 def label_mapping(frame: DataFrame, column: str) -> DataFrame:
     """Sorted distinct non-null texts and their numbers from 0: ``column``, ``code``.
@@ -68,9 +74,59 @@ def join_dimension(facts: DataFrame, dimension: DataFrame, keys: Sequence[str],
 
 def impute(frame: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
     """Nulls of numbers become the median (0 if there is none), of categories the mode."""
-    aggs = [F.median(c).alias(f"__{c}") for c in numeric] + [F.mode(c, deterministic=True).alias(f"__{c}") for c in categorical]
-    if not aggs:
-        return frame
-    joined = frame.withColumn("__fill", frame.agg(F.struct(*aggs)).scalar())
-    filled = {c: F.coalesce(F.col(c), F.col(f"__fill.__{c}"), F.lit(0)) for c in numeric} | {c: F.coalesce(F.col(c), F.col(f"__fill.__{c}")) for c in categorical}
-    return joined.withColumns(filled).drop("__fill")
+    fills = {c: exact_medians(frame, [], c).scalar() for c in numeric}
+    joined = frame
+    if categorical:
+        modes = [F.mode(c, deterministic=True).alias(f"__{c}") for c in categorical]
+        joined = frame.withColumn("__fill", frame.agg(F.struct(*modes)).scalar())
+    filled = {c: F.coalesce(F.col(c), fills[c], F.lit(0)) for c in numeric} | {c: F.coalesce(F.col(c), F.col(f"__fill.__{c}")) for c in categorical}
+    return joined.withColumns(filled).drop("__fill") if filled else frame
+
+
+def with_park_code(frame: DataFrame) -> DataFrame:
+    """Adds park_code from entity_code where the column is absent."""
+    return frame if "park_code" in frame.columns else frame.withColumn("park_code", park_of(F.col("entity_code")))
+
+
+def with_target(frame: DataFrame) -> DataFrame:
+    """Adds the target column observed_wait_time."""
+    return frame.withColumn("observed_wait_time", F.col("wait_time_minutes"))
+
+
+def with_hours_features(frame: DataFrame) -> DataFrame:
+    """Features of a row's park hours (observed_us, opening_us, closing_us, emh_morning, emh_evening, zone); null where it has none.
+
+    Minutes since opening, local hour of opening and closing, hours open (a closing before the
+    opening is on the next day) and the flags.
+    """
+    opening, closing = F.col("opening_us"), F.col("closing_us")
+    hour = F.lit(3_600_000_000)
+
+    def local_hour(us: Column) -> Column:
+        return F.pmod(F.floor(wall_us(us, F.col("zone"), ZONES) / hour), F.lit(24)).cast("bigint")
+
+    return frame.withColumns({
+        "pred_mins_since_park_open": (F.col("observed_us") - opening) / F.lit(60_000_000),
+        "pred_park_open_hour": local_hour(opening),
+        "pred_park_close_hour": local_hour(closing),
+        "pred_park_hours_open": (closing - opening) / hour + F.when(closing < opening, 24.0).otherwise(0.0),
+        "pred_emh_morning": F.col("emh_morning"),
+        "pred_emh_evening": F.col("emh_evening"),
+    })
+
+
+def feature_pipeline(facts: DataFrame, date_groups: DataFrame, seasons: DataFrame, now_us: int) -> DataFrame:
+    """All features of readings: operational day, date group, season, decay weight, target and park hours.
+
+    ``facts``: entity_code, park_code, zone, park_date (date), observed_us, wait_time_minutes, and
+    opening_us, closing_us and flags where the hours are known.  ``date_groups``: park_date, date_group_id, one row
+    for every date in the facts (a missing one is an error); ``seasons``: park_date, season, season_year.
+    """
+    local = wall_us(F.col("observed_us"), F.col("zone"), ZONES)
+    rows = with_target(with_park_code(facts)).withColumns({
+        "pred_mins_since_6am": minutes_since_start_of_day(local),
+        "wgt_geo_decay": geometric_decay((F.lit(now_us) - F.col("observed_us")) / F.lit(86_400_000_000)),
+    })
+    grouped = join_dimension(rows, date_groups.select("park_date", F.col("date_group_id").alias("pred_dategroupid")), ["park_date"], ["pred_dategroupid"], require=True)
+    named = seasons.select("park_date", F.col("season").alias("pred_season"), F.col("season_year").alias("pred_season_year"))
+    return with_hours_features(join_dimension(grouped, named, ["park_date"], ["pred_season", "pred_season_year"]))

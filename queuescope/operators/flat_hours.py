@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from queuescope.constants import DEFAULT_DATETIME
 from queuescope.functions.clean import number_flag, text
 from queuescope.operators import versions
+from queuescope.operators.ordered import null_safe_join
+from queuescope.operators.reports import first_per_group
 
 
 def clean_hours(frame: DataFrame) -> DataFrame:
@@ -93,5 +95,18 @@ def donor_date_of(notes: Column) -> Column:
 def entities_with(facts: DataFrame, kind: str, per_park: int = 5) -> DataFrame:
     """Per park: how many entities have readings of a kind, and the busiest of them."""
     counted = facts.where(F.col("wait_time_type") == kind).groupBy("park_code", "entity_code").agg(F.count(F.lit(1)).alias("n"))
-    ordered = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("r"), "entity_code")))
-    return counted.groupBy("park_code").agg(F.count(F.lit(1)).alias("n_entities"), F.transform(F.slice(ordered, 1, per_park), lambda x: x["entity_code"]).alias("examples"))
+    totals = counted.groupBy("park_code").agg(F.count(F.lit(1)).alias("n_entities"))
+    busiest = first_per_group(counted, ["park_code"], [F.col("n").desc(), F.col("entity_code")], per_park)
+    listed = busiest.groupBy("park_code").agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("r"), "entity_code"))).alias("__l"))
+    return null_safe_join(totals, listed, ["park_code"]).select("park_code", "n_entities", F.transform("__l", lambda x: x["entity_code"]).alias("examples"))
+
+
+def diverse_pick(counted: DataFrame, top: int = 30, first: int = 20) -> DataFrame:
+    """Of entities with counts (park_code, entity_code, n): the ``top`` busiest, of these the first ``first`` and then each one of a park not seen before it.
+
+    Sorting keeps ``top`` rows in each task; all after it works on these.
+    """
+    best = counted.orderBy(F.col("n").desc(), "entity_code").limit(top)
+    placed = best.withColumn("place", F.row_number().over(Window.orderBy(F.col("n").desc(), "entity_code")))
+    new_park = F.row_number().over(Window.partitionBy("park_code").orderBy("place")) == 1
+    return placed.withColumn("__new", new_park).where((F.col("place") <= first) | F.col("__new")).drop("__new")

@@ -179,7 +179,7 @@ _SPAN = ("2005-01-01", "2028-12-31")
 
 @query(f"""SELECT CAST(d AS VARCHAR) AS park_date, extract(year FROM d) AS year, extract(month FROM d) AS month, extract(day FROM d) AS day, extract(isodow FROM d) AS day_of_week, extract(quarter FROM d) AS quarter,
   extract(week FROM d) AS week_of_year, extract(doy FROM d) AS day_of_year, strftime(d, '%B') AS month_name, strftime(d, '%b') AS month_mmm, strftime(d, '%A') AS day_of_week_name, strftime(d, '%a') AS day_of_week_ddd,
-  strftime(d, '%b-%Y') AS month_year, 'Q' || extract(quarter FROM d) || '-' || extract(year FROM d) AS quarter_year, '''' || strftime(d, '%y') AS year_yy, strftime(d, '%Y') || '_' || upper(strftime(d, '%b')) || 'ON' AS output_file_label
+  strftime(d, '%b-%Y') AS month_year, 'Q' || extract(quarter FROM d) || '-' || extract(year FROM d) AS quarter_year, '''' || strftime(d, '%y') AS year_yy, strftime(d, '%Y') || '_' || lpad(CAST(month(d) AS VARCHAR), 2, '0') || upper(left(strftime(d, '%B'), 3)) AS output_file_label, left(strftime(d, '%B'), 1) AS month_m, left(strftime(d, '%A'), 1) AS day_of_week_d
 FROM (SELECT CAST(unnest(generate_series(DATE '{_SPAN[0]}', DATE '{_SPAN[1]}', INTERVAL 1 DAY)) AS DATE) AS d)""")
 def q_date_spine(spark: SparkSession, d: str) -> DataFrame:
     """The calendar, one row per day."""
@@ -205,6 +205,7 @@ _HOLIDAYS = " ".join(
     + ["WHEN month(d) = 7 AND day(d) = 4 THEN 'IND' WHEN month(d) = 5 AND isodow(d) = 1 AND day(d) >= 25 THEN 'MEM' WHEN d = e + 1 THEN 'ESM' WHEN d = e THEN 'ESS' WHEN d = e - 1 THEN 'EST' WHEN d = e - 2 THEN 'GFR'"]
     + ["WHEN d = e - 46 THEN 'ASH' WHEN d = e - 47 THEN 'MGR' WHEN month(d) = 2 AND isodow(d) = 1 AND day(d) BETWEEN 15 AND 21 THEN 'PRS' WHEN month(d) = 1 AND isodow(d) = 1 AND day(d) BETWEEN 15 AND 21 THEN 'MLK' WHEN month(d) = 1 AND day(d) = 1 THEN 'NYD'"]
 )
+_NAMES = " ".join("WHEN '{}' THEN '{}'".format(c, n.replace("'", "''")) for c, n in calendar.NAME_OF_HOLIDAY.items())
 _GROUPS = " ".join(f"WHEN '{c}' THEN '{g}'" for c, g in calendar.GROUP_OF_HOLIDAY.items())
 
 
@@ -214,12 +215,12 @@ a3 AS (SELECT *, (b - f + 1) // 3 AS g FROM a2), a4 AS (SELECT *, (19 * a + b -
 a6 AS (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM a5), east AS (SELECT y, make_date(y, (h + l - 7 * m + 114) // 31, (h + l - 7 * m + 114) % 31 + 1) AS e FROM a6),
 coded AS (SELECT d, e, CASE {_HOLIDAYS} ELSE 'NONE' END AS c FROM days JOIN east ON y = year(d)),
 paired AS (SELECT d, e, CASE WHEN c = 'PRS' AND lead(c) OVER (ORDER BY d) = 'MGR' THEN 'PMP' WHEN c = 'MGR' AND lag(c) OVER (ORDER BY d) = 'PRS' THEN 'PMM' ELSE c END AS c FROM coded)
-SELECT CAST(d AS VARCHAR) AS park_date, c AS holidaycode, CASE WHEN month(d) = 12 AND day(d) BETWEEN 27 AND 30 THEN 'DEC' || day(d) WHEN c = 'NJC' THEN 'JERSEY_WEEK_' || upper(strftime(d, '%a'))
+SELECT CAST(d AS VARCHAR) AS park_date, c AS holidaycode, CASE c {_NAMES} ELSE 'None' END AS holidayname, CASE WHEN month(d) = 12 AND day(d) BETWEEN 27 AND 30 THEN 'DEC' || day(d) WHEN c = 'NJC' THEN 'JERSEY_WEEK_' || upper(strftime(d, '%a'))
   ELSE CASE c {_GROUPS} ELSE CASE WHEN month(d) IN (3, 4) THEN CASE WHEN d >= e - 2 THEN 'AFTER_EASTER_' ELSE 'BEFORE_EASTER_' END ELSE '' END || upper(strftime(d, '%b')) || '_WEEK' ||
     CASE WHEN day(d) > 21 THEN '4OR5' ELSE ((day(d) - 1) // 7 + 1)::VARCHAR END || '_' || upper(strftime(d, '%a')) END END AS date_group_id FROM paired""")
 def q_date_groups(spark: SparkSession, d: str) -> DataFrame:
     """Holiday and date group of every day of the date-group dimension."""
-    return _calendar(spark).select(F.col("park_date").cast("string").alias("park_date"), "holidaycode", "date_group_id")
+    return _calendar(spark).select(F.col("park_date").cast("string").alias("park_date"), "holidaycode", "holidayname", "date_group_id")
 
 
 _CASES = "\n".join(
@@ -228,12 +229,15 @@ _CASES = "\n".join(
 _PLAIN = " ".join(f"WHEN regexp_matches(g, '{p}') THEN '{label}'" for p, label in calendar.PLAIN_SEASONS)
 
 
-@query(f"""WITH days AS (SELECT CAST(park_date AS DATE) AS d, date_group_id AS g FROM dimdategroupid), pats AS ({_CASES}),
+SEASON_SQL = f"""WITH days AS (SELECT CAST(park_date AS DATE) AS d, date_group_id AS g FROM dimdategroupid), pats AS ({_CASES}),
 first_ AS (SELECT x.d, arg_min(p.label, p.rank) AS label FROM days x JOIN days m ON m.d BETWEEN x.d - 3 AND x.d + 3 JOIN pats p ON regexp_matches(m.g, p.p) AND m.d - p.a <= x.d AND x.d <= m.d + p.b GROUP BY x.d),
 base AS (SELECT days.d, g, CASE WHEN (month(days.d) = 12 AND day(days.d) >= 27) OR (month(days.d) = 1 AND day(days.d) = 1) THEN 'CHRISTMAS_PEAK' ELSE label END AS s FROM days LEFT JOIN first_ ON first_.d = days.d),
 claim AS (SELECT DISTINCT x.d FROM base x JOIN base a ON a.s = 'PRESIDENTS_DAY' AND abs(x.d - a.d) <= 3 JOIN base b ON b.s = 'MARDI_GRAS' AND abs(a.d - b.d) <= 3),
 full_ AS (SELECT base.d, CASE WHEN claim.d IS NOT NULL THEN 'PRESIDENTS_DAY_MARDI_GRAS' ELSE coalesce(s, CASE {_PLAIN} ELSE '' END) END AS season FROM base LEFT JOIN claim ON claim.d = base.d)
-SELECT CAST(d AS VARCHAR) AS park_date, season, season || '_' || (year(d) - CASE WHEN month(d) = 1 AND season IN ('CHRISTMAS', 'CHRISTMAS_PEAK') THEN 1 ELSE 0 END) AS season_year FROM full_""")
+SELECT CAST(d AS VARCHAR) AS park_date, season, season || '_' || (year(d) - CASE WHEN month(d) = 1 AND season IN ('CHRISTMAS', 'CHRISTMAS_PEAK') THEN 1 ELSE 0 END) AS season_year FROM full_"""
+
+
+@query(SEASON_SQL)
 def q_season(spark: SparkSession, d: str) -> DataFrame:
     """Season and season year of every day of the date-group dimension."""
     days = table(spark, d, "dimdategroupid").select(F.col("park_date").cast("date").alias("park_date"), "date_group_id")
@@ -330,14 +334,14 @@ def q_sample_per_group(spark: SparkSession, d: str) -> DataFrame:
     return reports.first_per_group(facts(spark, d).select("event_id", "wait_time_type", "wait_time_minutes"), ["wait_time_type"], [F.col("wait_time_minutes").desc(), F.col("event_id")], 5).select("event_id", "wait_time_type")
 
 
-@query("""SELECT CAST(CASE WHEN q < 10 THEN 0 WHEN q < 20 THEN 1 WHEN q < 40 THEN 2 ELSE 3 END AS BIGINT) AS bin, count(*) AS n, round(avg(abs(e)), 6) AS mae, round(median(abs(e)), 6) AS median_error, round(sqrt(avg(e * e)), 4) AS rmse,
+@query("""SELECT CAST(CASE WHEN q < 10 THEN 0 WHEN q < 20 THEN 1 WHEN q < 40 THEN 2 ELSE 3 END AS BIGINT) AS bin, count(*) AS n, round(avg(abs(e)), 6) AS mae, round(median(abs(e)), 6) AS median_error, round(sqrt(avg(e * e)), 4) AS rmse, round(median(CASE WHEN o > 0 THEN abs(e) / o * 100 END), 6) AS median_ape,
   round(avg(CASE WHEN o > 0 THEN abs(e) / o * 100 END), 6) AS mape, round(1 - sum(e * e) / nullif(var_pop(o) * count(o), 0), 6) AS r2
 FROM (SELECT l_quantity AS q, l_extendedprice AS o, l_quantity * 1500 - l_extendedprice AS e FROM lineitem) GROUP BY 1""")
 def q_accuracy_bins(spark: SparkSession, d: str) -> DataFrame:
     """Error metrics of a price guess per quantity bin."""
     rows = table(spark, d, "lineitem").select(reports.bin_label(F.col("l_quantity"), [0, 10, 20, 40]).cast("bigint").alias("bin"), "l_extendedprice", (F.col("l_quantity") * 1500).alias("guess"))
     table_ = reports.error_metrics(rows, ["bin"], "l_extendedprice", "guess")
-    return table_.withColumns({c: F.round(c, 4 if c == "rmse" else 6) for c in ("mae", "median_error", "rmse", "mape", "r2")})
+    return table_.withColumns({c: F.round(c, 4 if c == "rmse" else 6) for c in ("mae", "median_error", "rmse", "mape", "median_ape", "r2")})
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -364,24 +368,31 @@ def q_coverage_grid(spark: SparkSession, d: str) -> DataFrame:
     return reports.coverage(grid, rows.where(F.col("wait_time_type") == "ACTUAL"), ["park_code", "park_date"]).withColumn("park_date", F.col("park_date").cast("string"))
 
 
-@query("""SELECT entity_code, CASE WHEN trim(entity_name) IN ('', 'nan') THEN NULL ELSE trim(entity_name) END AS entity_name, CASE WHEN trim(park_code) IN ('', 'nan') THEN NULL ELSE lower(trim(park_code)) END AS park_code,
-  CAST(coalesce(try_strptime(trim(opened_on), ['%Y-%m-%d', '%m/%d/%Y']), TIMESTAMP '1955-07-17') AS DATE)::VARCHAR AS opened_on, CAST(coalesce(try_strptime(trim(extinct_on), ['%Y-%m-%d', '%m/%d/%Y']), TIMESTAMP '2099-01-01') AS DATE)::VARCHAR AS extinct_on,
+_OPENED = " ".join(f"WHEN '{p}' THEN TIMESTAMP '{day}'" for p, day in clean.OPENED_BY_PARK.items())
+
+
+@query(f"""SELECT entity_code, CASE WHEN trim(entity_name) IN ('', 'nan') THEN NULL ELSE trim(entity_name) END AS entity_name, CASE WHEN trim(park_code) IN ('', 'nan') THEN NULL ELSE lower(trim(park_code)) END AS park_code,
+  CAST(coalesce(try_strptime(trim(opened_on), ['%Y-%m-%d', '%m/%d/%Y']), CASE lower(trim(park_code)) {_OPENED} ELSE TIMESTAMP '1955-07-17' END) AS DATE)::VARCHAR AS opened_on, CAST(coalesce(try_strptime(trim(extinct_on), ['%Y-%m-%d', '%m/%d/%Y']), TIMESTAMP '2099-01-01') AS DATE)::VARCHAR AS extinct_on,
   coalesce(lower(trim(fastpass_booth)) IN ('true', '1', 'yes', 'y', 't'), FALSE) AS fastpass_booth, CASE WHEN height_restriction >= 0 THEN CAST(height_restriction AS BIGINT) END AS height_restriction, CASE WHEN duration > 0 THEN duration END AS duration FROM dimentity""", nullable=("height_restriction",))
 def q_clean_entities(spark: SparkSession, d: str) -> DataFrame:
     """The attraction dimension, cleaned."""
-    rows = clean.clean_entities(table(spark, d, "dimentity"), {})
+    rows = clean.clean_entities(table(spark, d, "dimentity"))
     return rows.select(
         F.trim(F.col("entity_code")).alias("entity_code"), "entity_name", "park_code", F.col("opened_on").cast("string").alias("opened_on"), F.col("extinct_on").cast("string").alias("extinct_on"), "fastpass_booth",
         F.col("height_restriction").cast("bigint").alias("height_restriction"), "duration",
     )
 
 
-@query("""SELECT 'doc_id' AS column_name, count(*) AS n_rows, count(*) FILTER (doc_id IS NULL) AS n_null, 0 AS n_empty FROM documents
-UNION ALL SELECT 'lang', count(*), count(*) FILTER (lang IS NULL), count(*) FILTER (lang = '') FROM documents
-UNION ALL SELECT 'in_reply_to', count(*), count(*) FILTER (in_reply_to IS NULL), count(*) FILTER (in_reply_to = '') FROM documents
-UNION ALL SELECT 'date_header', count(*), count(*) FILTER (date_header IS NULL), count(*) FILTER (date_header = '') FROM documents""")
+_PROFILED = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint", "message_id": "string", "in_reply_to": "string", "thread_id": "bigint", "date_header": "string", "from_addr": "string"}
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, '{kind}' AS type, count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS n_null, round(100.0 * count(*) FILTER ({c} IS NULL) / count(*), 6) AS null_percent, {f"count(*) FILTER ({c} = '')" if kind == "string" else "0"} AS n_empty,
+  (SELECT coalesce(string_agg(v, ' | ' ORDER BY v), '') FROM (SELECT DISTINCT left(CAST({c} AS VARCHAR), 80) AS v FROM documents WHERE {c} IS NOT NULL ORDER BY v LIMIT 3)) AS samples FROM documents"""
+    for c, kind in _PROFILED.items()
+))
 def q_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Nulls and empty texts per column."""
+    """Type, nulls, empty texts and examples per column."""
     return reports.profile(table(spark, d, "documents"))
 
 

@@ -94,15 +94,6 @@ def q_change_probability(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select("o_orderkey", versions.change_probability(F.col("o_orderkey") % 120).alias("probability"))
 
 
-@query(f"""WITH {_VERSIONS}, o AS (SELECT park_date, park_code, arg_min(opening_minute, version_id) AS m FROM vers WHERE version_type = 'official' GROUP BY ALL)
-SELECT v.version_id, abs(v.opening_minute - o.m) AS open_error FROM vers v JOIN o USING (park_date, park_code) WHERE v.version_type = 'predicted'""")
-def q_donor_accuracy(spark: SparkSession, d: str) -> DataFrame:
-    """Predicted against first official opening times."""
-    rows = _versions(spark, d)
-    official = rows.where(F.col("version_type") == "official").groupBy("park_date", "park_code").agg(F.min_by("opening_minute", "version_id").alias("m"))
-    return rows.where(F.col("version_type") == "predicted").join(official, ["park_date", "park_code"]).select("version_id", F.abs(F.col("opening_minute") - F.col("m")).alias("open_error"))
-
-
 # ---- nearest in time
 
 _KEYS = ["entity_code", "park_date"]
@@ -188,26 +179,6 @@ def _curve(spark: SparkSession, d: str, kind: str, out: str) -> DataFrame:
 _CURVE_KEYS = ["entity_code", "park_code", "park_date", "time_slot"]
 
 
-@query(f"WITH {_CURVES} SELECT entity_code, CAST(park_date AS VARCHAR) AS park_date, time_slot, round(value, 6) AS value, source FROM curve")
-def q_backfill_curve(spark: SparkSession, d: str) -> DataFrame:
-    """Observed values, imputed where nothing was observed."""
-    joined = _curve(spark, d, "ACTUAL", "actual").join(_curve(spark, d, "POSTED", "imputed"), _CURVE_KEYS, "full_outer")
-    return joined.select("entity_code", F.col("park_date").cast("string").alias("park_date"), "time_slot", F.round(F.coalesce("actual", "imputed"), 6).alias("value"), F.when(F.col("actual").isNotNull(), "observed").otherwise("imputed").alias("source"))
-
-
-@query(f"""WITH {_CURVES}, m AS (SELECT left(entity_code, 2) AS pre, CAST(extract(hour FROM local_ts) AS BIGINT) AS hour, median(wait_time_minutes) AS v FROM fact WHERE wait_time_type = 'POSTED' GROUP BY ALL),
-e AS (SELECT DISTINCT entity_code, park_code FROM fact), days AS (SELECT DISTINCT park_code, park_date FROM fact WHERE park_date = DATE '2024-01-15')
-SELECT e.entity_code, g.time_slot, CAST(round_even(m.v / 5, 0) * 5 AS BIGINT) AS posted_predicted FROM grid g JOIN days USING (park_code, park_date) JOIN e ON e.park_code = g.park_code JOIN m ON m.pre = left(e.entity_code, 2) AND m.hour = g.slot_minute % 1440 // 60""")
-def q_forecast_curve(spark: SparkSession, d: str) -> DataFrame:
-    """Posted times of every entity, date and slot, from medians per prefix and hour."""
-    rows = facts(spark, d)
-    hour = (F.floor(F.col("local_us") / F.lit(3_600_000_000)) % 24).cast("bigint")
-    medians = rows.where(F.col("wait_time_type") == "POSTED").groupBy(F.substring("entity_code", 1, 2).alias("prefix"), hour.alias("hour")).agg(F.median("wait_time_minutes").alias("v"))
-    entities = rows.select("entity_code", "park_code", F.substring("entity_code", 1, 2).alias("prefix")).distinct()
-    grid = _grid(spark, d).withColumn("hour", (F.floor(F.col("slot_minute") / 60) % 24).cast("bigint"))
-    return grid.join(entities, "park_code").join(medians, ["prefix", "hour"]).select("entity_code", F.col("park_date").cast("string").alias("park_date"), "time_slot", temporal.display_posted(F.col("v")).alias("posted_predicted"))
-
-
 @query(f"""WITH {_CURVES} SELECT g.park_code, CAST(g.park_date AS VARCHAR) AS park_date, g.time_slot, round(avg(c.value), 6) AS wti, count(c.value) AS n_entities, round(min(c.value), 6) AS min_actual, round(max(c.value), 6) AS max_actual
 FROM (SELECT DISTINCT park_code, park_date, time_slot FROM grid) g LEFT JOIN curve c ON c.park_code = g.park_code AND c.park_date = g.park_date AND c.time_slot = g.time_slot GROUP BY ALL""")
 def q_wti(spark: SparkSession, d: str) -> DataFrame:
@@ -243,17 +214,6 @@ def q_entities_with_actual(spark: SparkSession, d: str) -> DataFrame:
 # ---- features and models
 
 
-@query(f"""WITH {FACT}, s AS (SELECT f.*, g.date_group_id, {_HOURS.split("SELECT DISTINCT park_code, park_date, ")[1].split(" AS o, ")[0]} AS open_minute FROM fact f JOIN dimdategroupid g ON g.park_date = CAST(f.park_date AS VARCHAR))
-SELECT event_id, date_group_id, CAST((extract(hour FROM local_ts) * 60 + extract(minute FROM local_ts) + 1080) % 1440 AS BIGINT) AS mins_since_6am, CAST(date_diff('second', CAST(park_date AS TIMESTAMP), local_ts) // 60 - open_minute AS BIGINT) AS mins_since_open FROM s""")
-def q_feature_row(spark: SparkSession, d: str) -> DataFrame:
-    """Calendar, clock and opening features of every reading."""
-    groups = table(spark, d, "dimdategroupid").select(F.col("park_date").cast("date").alias("park_date"), "date_group_id")
-    rows = features.join_dimension(facts(spark, d), groups, ["park_date"], ["date_group_id"], require=True)
-    opening = F.lit(483) + F.ascii("park_code") % 7 * 8
-    minute = F.floor((F.col("local_us") - F.unix_date("park_date") * F.lit(_DAY).cast("bigint")) / F.lit(60_000_000))
-    return rows.select("event_id", "date_group_id", temporal.minutes_since_start_of_day(F.col("local_us")).alias("mins_since_6am"), (minute - opening).cast("bigint").alias("mins_since_open"))
-
-
 @query(f"WITH {FACT} SELECT entity_code, round(coalesce(avg(wait_time_minutes), 0), 9) AS prediction, count(*) AS n FROM fact WHERE wait_time_type = 'ACTUAL' GROUP BY 1 HAVING count(*) < 500")
 def q_mean_model(spark: SparkSession, d: str) -> DataFrame:
     """Mean models of sparse entities."""
@@ -268,7 +228,7 @@ def q_boosted_model(spark: SparkSession, d: str) -> DataFrame:
     ready = coded.select("event_id", "park_date", F.col("entity_code_code").cast("double").alias("entity"), temporal.minutes_since_start_of_day(F.col("local_us")).cast("double").alias("minute"), (F.weekday("park_date") + 0.0).alias("weekday"), F.col("wait_time_minutes").cast("double").alias("target"))
     split = cut(features.chronological_split(ready, "park_date"))
     names = ["entity", "minute", "weekday"]
-    fitted = model.fit_boosted(split, names, "target", rounds=2000, depth=6)
+    fitted = model.fit_boosted(split, names, "target", rounds=model.ROUNDS, depth=model.DEPTH)
     return model.predict(fitted, split.where(F.col("split") == "test"), names).select("event_id", "target", "prediction")
 
 

@@ -1,99 +1,12 @@
-"""SQL twins of the core queries, written another way where there is one."""
+"""SQL twins of the core queries."""
 
 from __future__ import annotations
 
+from queuescope.plans import problem_sql as q
 from queuescope.plans import reference
 
-#: Texts to instants: local text and zone text are parted, the local text is read by formats, and of
-#: the zone's two offsets the first that maps back is taken; none does inside a gap.
-_FORMATS = (
-    "%Y-%m-%dT%H:%M:%S",
-    "%Y-%m-%dT%H:%M:%S.%f",
-    "%Y-%m-%dt%H:%M:%S",
-    "%Y-%m-%d %H:%M:%S",
-    "%Y-%m-%dT%H:%M",
-    "%m/%d/%Y %I:%M %p",
-    "%Y/%m/%d %H:%M:%S",
-    "%a, %d %b %Y %H:%M:%S",
-    "%d %b %Y %H:%M:%S",
-    "%Y年%m月%d日 %H:%M",
-    "%Y%m%dT%H%M%S",
-)
-_CLOCKS = ("%I:%M %p", "%I:%M%p", "%H:%M:%S", "%H:%M", "%H%M")
-
-
-def _list(formats: tuple[str, ...]) -> str:
-    return "[" + ", ".join(f"'{f}'" for f in formats) + "]"
-
-
-def _instants(name: str, source: str) -> str:
-    """CTEs that end in ``name``: row_id, field_name, written, us of a source with row_id, field_name, written, zone, day."""
-    return f"""
-{name}_a AS (
-  SELECT *, regexp_replace(written, '^\\s+|\\s+$', '', 'g') AS c FROM ({source}) s
-), {name}_b AS (
-  SELECT *, CASE WHEN regexp_matches(c, '^\\d{{10}}$') THEN c::BIGINT * 1000000 WHEN regexp_matches(c, '^\\d{{13}}$') THEN c::BIGINT * 1000 END AS epoch,
-    regexp_extract(c, '([Zz]|[+-]\\d{{2}}:?\\d{{2}}| [A-Z]{{3}})$', 1) AS z
-  FROM {name}_a
-), {name}_c AS (
-  SELECT *, replace(trim(z), ':', '') AS z2, left(c, length(c) - length(z)) AS l FROM {name}_b
-), {name}_d AS (
-  SELECT *, CASE z2 WHEN '' THEN NULL WHEN 'Z' THEN 0 WHEN 'EST' THEN -300 WHEN 'EDT' THEN -240 WHEN 'PST' THEN -480 WHEN 'PDT' THEN -420 WHEN 'JST' THEN 540
-      ELSE CASE left(z2, 1) WHEN '-' THEN -1 ELSE 1 END * (TRY_CAST(substr(z2, 2, 2) AS INT) * 60 + TRY_CAST(substr(z2, 4, 2) AS INT)) END AS east,
-    coalesce(try_strptime(trim(l), {_list(_FORMATS)}),
-      CASE WHEN day IS NOT NULL AND regexp_matches(c, '^(\\d{{1,2}}:\\d{{2}}(:\\d{{2}})?( ?[AaPp][Mm])?|\\d{{4}})$') THEN day
-        + CAST(CASE WHEN extract(hour FROM try_strptime(upper(c), {_list(_CLOCKS)})) < 6 THEN 1 ELSE 0 END AS INT) + CAST(try_strptime(upper(c), {_list(_CLOCKS)}) AS TIME) END) AS wall,
-    CASE zone WHEN 'America/New_York' THEN -300 WHEN 'America/Los_Angeles' THEN -480 ELSE 540 END AS std,
-    CASE zone WHEN 'Asia/Tokyo' THEN 0 ELSE 60 END AS dst
-  FROM {name}_c
-), {name}_e AS (
-  SELECT *, wall - to_minutes(std + dst) AS u1, wall - to_minutes(std) AS u2 FROM {name}_d
-), {name}_f AS (
-  SELECT *, CASE WHEN epoch IS NOT NULL THEN epoch WHEN z2 <> '' THEN epoch_us(wall - to_minutes(east))
-      WHEN (u1 AT TIME ZONE 'UTC') AT TIME ZONE zone = wall THEN epoch_us(u1)
-      WHEN (u2 AT TIME ZONE 'UTC') AT TIME ZONE zone = wall THEN epoch_us(u2)
-      ELSE epoch_us(date_trunc('hour', wall) - to_minutes(std)) END AS u
-  FROM {name}_e
-), {name} AS (
-  SELECT row_id, field_name, written, CASE WHEN u <> 915177600000000 AND (wall IS NULL OR CAST(wall AS DATE) <> DATE '1999-01-01') THEN u END AS us FROM {name}_f
-)"""
-
-
-_PROP_ZONE = "CASE lower(trim(prop)) WHEN 'dlr' THEN 'America/Los_Angeles' WHEN 'ush' THEN 'America/Los_Angeles' WHEN 'tdr' THEN 'Asia/Tokyo' ELSE 'America/New_York' END"
-_PARK = "upper(regexp_replace(park_code, '^\\s+|\\s+$', '', 'g'))"
-_PARK_ZONE = "CASE {p} WHEN 'DL' THEN 'America/Los_Angeles' WHEN 'CA' THEN 'America/Los_Angeles' WHEN 'UH' THEN 'America/Los_Angeles' WHEN 'TDL' THEN 'Asia/Tokyo' WHEN 'TDS' THEN 'Asia/Tokyo' ELSE 'America/New_York' END"
-_ENTITY = "upper(regexp_replace(entity_code, '^\\s+|\\s+$', '', 'g'))"
-_KIND = "upper(regexp_replace(wait_time_type, '^\\s+|\\s+$', '', 'g'))"
-
-_OBSERVED = _instants("seen", f"SELECT ingest_seq AS row_id, 'observed_at' AS field_name, observed_at AS written, {_PROP_ZONE} AS zone, CAST(NULL AS DATE) AS day FROM dedupe_keys")
-_HOURS = _instants(
-    "opened",
-    " UNION ALL ".join(
-        f"SELECT hours_id AS row_id, '{f}' AS field_name, {f} AS written, {_PARK_ZONE.format(p=_PARK)} AS zone, TRY_CAST(park_date AS DATE) AS day FROM dimparkhours_with_donor"
-        for f in ("opening_time", "closing_time")
-    ),
-)
-
-READINGS = f"""{_OBSERVED}, readings AS (
-  SELECT d.ingest_seq, {_ENTITY} AS entity, {_KIND} AS kind, {_ENTITY} || '|' || {_KIND} AS source, s.us, CAST(d.wait_time_minutes AS BIGINT) AS m, d.prop
-  FROM dedupe_keys d JOIN seen s ON s.row_id = d.ingest_seq WHERE s.us IS NOT NULL AND d.entity_code IS NOT NULL
-)"""
-
-_PAIRS = """SELECT a.ingest_seq AS ingest_seq_a, b.ingest_seq AS ingest_seq_b FROM readings a JOIN readings b
-  ON a.source = b.source AND abs(a.us - b.us) <= 30000000 AND abs(a.m - b.m) <= 1 AND a.ingest_seq < b.ingest_seq"""
-
-USABLE = f"""{_HOURS}, usable AS (
-  SELECT h.hours_id, {_PARK} AS park, h.park_date, lower(trim(h.version_type)) AS version_type, h.valid_from, h.created_at, o.us AS open_us, c.us AS close_us,
-    coalesce(CAST(h.emh_morning AS BOOLEAN), FALSE) AS em, coalesce(CAST(h.emh_evening AS BOOLEAN), FALSE) AS ev
-  FROM dimparkhours_with_donor h
-  JOIN opened o ON o.row_id = h.hours_id AND o.field_name = 'opening_time' JOIN opened c ON c.row_id = h.hours_id AND c.field_name = 'closing_time'
-  WHERE o.us IS NOT NULL AND c.us IS NOT NULL
-)"""
-
-_EXACT = "regexp_matches(written, '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}[+-]\\d{2}:\\d{2}$')"
-
 SQL: dict[str, str] = {
-    "p1_found": f"""WITH {READINGS}, pairs AS ({_PAIRS}), base AS (
+    "p1_found": f"""WITH {q.READINGS}, pairs AS ({q.PAIRS}), base AS (
   SELECT *, CASE WHEN kind = 'PRIORITY' THEN m BETWEEN -100 AND 2000 ELSE m BETWEEN 0 AND 1000 END AS ok FROM readings
   WHERE m IS NOT NULL AND NOT (kind = 'PRIORITY' AND m = 8888) AND ingest_seq NOT IN (SELECT ingest_seq_b FROM pairs)
 ), med AS (SELECT source, median(m) AS med, count(*) AS n FROM base WHERE ok GROUP BY source), chg AS (
@@ -103,19 +16,46 @@ SQL: dict[str, str] = {
 ), share AS (SELECT source, sum(CASE WHEN has THEN 1 - starts ELSE 0 END) * 1.0 / nullif(count(*) - 1, 0) AS eq FROM chg GROUP BY source)
 SELECT l.ingest_seq FROM lens l LEFT JOIN med USING (source) LEFT JOIN share USING (source)
 WHERE NOT ok OR (n >= 20 AND (m > 3 * med + 30 OR (kind = 'POSTED' AND med >= 40 AND m < med / 10))) OR (len >= 10 AND coalesce(eq, 0) <= 0.8)""",
-    "p2_found": f"""WITH {_OBSERVED}, {_HOURS}, both_ AS (SELECT * FROM seen UNION ALL SELECT * FROM opened)
-SELECT field_name, row_id, us AS epoch_us FROM both_ WHERE us IS NOT NULL AND NOT {_EXACT}""",
-    "p4_found": f"""WITH {_HOURS} SELECT row_id AS hours_id, field_name FROM opened WHERE us IS NULL
+    "p2_found": f"""WITH {q.OBSERVED}, {q.HOURS}, both_ AS (SELECT * FROM seen UNION ALL SELECT * FROM opened)
+SELECT field_name, row_id, us AS epoch_us FROM both_ WHERE us IS NOT NULL AND NOT {q.EXACT}""",
+    "p4_found": f"""WITH {q.HOURS} SELECT row_id AS hours_id, field_name FROM opened WHERE us IS NULL
 UNION ALL SELECT hours_id, 'source' FROM dimparkhours_with_donor WHERE source IS NULL OR lower(trim(source)) IN ('', '-', '--', 'nan', 'null', 'none', 'unknown', 'n/a', 'na', 'nat', 'tbd', '?')""",
-    "p5_found": f"""WITH {USABLE}, ordered AS (
+    "p4_filled": f"""WITH {q.HOURS}, src AS (
+  SELECT h.hours_id, {q.PARK} AS park, lower(trim(h.version_type)) AS kind, TRY_CAST(h.park_date AS DATE) AS day, h.created_at, {q.PARK_ZONE.format(p=q.PARK)} AS zone,
+    CASE WHEN h.source IS NOT NULL AND lower(trim(h.source)) NOT IN {q.FILLER_LIST} THEN lower(trim(h.source)) END AS s FROM dimparkhours_with_donor h
+), times AS (
+  SELECT s.*, (epoch_us((make_timestamp(o.us) AT TIME ZONE 'UTC') AT TIME ZONE zone) - epoch_us(CAST(day AS TIMESTAMP))) / 60e6 AS o, (epoch_us((make_timestamp(c.us) AT TIME ZONE 'UTC') AT TIME ZONE zone) - epoch_us(CAST(day AS TIMESTAMP))) / 60e6 AS c
+  FROM src s JOIN opened o ON o.row_id = s.hours_id AND o.field_name = 'opening_time' JOIN opened c ON c.row_id = s.hours_id AND c.field_name = 'closing_time'
+), {q.filled("o")}, {q.filled("c")}, sources AS (
+  SELECT *, last_value(CASE WHEN s IS NOT NULL AND day IS NOT NULL THEN {{'d': day, 'v': s}} END IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b,
+    first_value(CASE WHEN s IS NOT NULL AND day IS NOT NULL THEN {{'d': day, 'v': s}} END IGNORE NULLS) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS a
+  FROM times WINDOW w AS (PARTITION BY park, kind ORDER BY day NULLS FIRST, created_at NULLS FIRST, hours_id)
+), near AS (SELECT *, day - b.d AS back, a.d - day AS ahead FROM sources), carried AS (
+  SELECT *, CASE WHEN back <= 30 AND (ahead IS NULL OR ahead > 30 OR back <= ahead) THEN b.v WHEN ahead <= 30 THEN a.v END AS v, CASE WHEN back <= 30 AND (ahead IS NULL OR ahead > 30 OR back <= ahead) THEN back WHEN ahead <= 30 THEN ahead END AS dist FROM near
+), modes AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY g, park, kind, wd ORDER BY n DESC, s) AS rn FROM (
+    SELECT 1 AS g, park, NULL AS kind, isodow(day) AS wd, s, count(*) AS n FROM times WHERE s IS NOT NULL GROUP BY ALL UNION ALL SELECT 2, NULL, kind, NULL, s, count(*) FROM times WHERE s IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT 3, park, NULL, NULL, s, count(*) FROM times WHERE s IS NOT NULL GROUP BY ALL)) WHERE rn = 1
+), all_ AS (
+  SELECT hours_id, 'source' AS field_name, coalesce(v, m1.s, m2.s, m3.s) AS value, CASE WHEN v IS NOT NULL THEN 'carried' WHEN coalesce(m1.s, m2.s, m3.s) IS NOT NULL THEN 'group' ELSE 'none' END AS method, CASE WHEN v IS NOT NULL THEN dist END AS distance_days
+  FROM carried k LEFT JOIN modes m1 ON m1.g = 1 AND m1.park IS NOT DISTINCT FROM k.park AND m1.wd IS NOT DISTINCT FROM isodow(k.day) LEFT JOIN modes m2 ON m2.g = 2 AND m2.kind IS NOT DISTINCT FROM k.kind LEFT JOIN modes m3 ON m3.g = 3 AND m3.park IS NOT DISTINCT FROM k.park WHERE k.s IS NULL
+  UNION ALL SELECT hours_id, 'opening_time', CAST(round_even(value, 0) AS VARCHAR), method, dist FROM o_out UNION ALL SELECT hours_id, 'closing_time', CAST(round_even(value, 0) AS VARCHAR), method, dist FROM c_out
+) SELECT hours_id, field_name, value, method, CAST(distance_days AS DOUBLE) AS distance_days FROM all_""",
+    "p5_history": f"""WITH {q.USABLE}, ordered AS (
+  SELECT *, lag(hours_id) OVER w AS before, lag(open_us) OVER w AS b1, lag(close_us) OVER w AS b2, lag(em) OVER w AS b3, lag(ev) OVER w AS b4 FROM usable
+  WINDOW w AS (PARTITION BY park, park_date, version_type ORDER BY valid_from, created_at, hours_id)
+), begins AS (SELECT *, CASE WHEN before IS NULL THEN 'inserted' ELSE 'changed' END AS change FROM ordered WHERE before IS NULL OR b1 <> open_us OR b2 <> close_us OR b3 <> em OR b4 <> ev)
+SELECT park, park_date, version_type, row_number() OVER v AS version_no, change, hours_id, CAST(epoch_us(valid_from) AS DOUBLE) AS valid_from_us, CAST(lead(epoch_us(valid_from)) OVER v AS DOUBLE) AS valid_until_us,
+  CAST(lead(hours_id) OVER v AS DOUBLE) AS closed_by, open_us AS opening_us, close_us AS closing_us, em AS emh_morning, ev AS emh_evening FROM begins WINDOW v AS (PARTITION BY park, park_date, version_type ORDER BY valid_from, created_at, hours_id)""",
+    "p5_found": f"""WITH {q.USABLE}, ordered AS (
   SELECT *, lag(hours_id) OVER w AS before, lag(open_us) OVER w AS b1, lag(close_us) OVER w AS b2, lag(em) OVER w AS b3, lag(ev) OVER w AS b4 FROM usable
   WINDOW w AS (PARTITION BY park, park_date, version_type ORDER BY valid_from, created_at, hours_id)
 ), begins AS (SELECT * FROM ordered WHERE before IS NULL OR b1 <> open_us OR b2 <> close_us OR b3 <> em OR b4 <> ev)
 SELECT hours_id, CAST(coalesce(lead(hours_id) OVER (PARTITION BY park, park_date, version_type ORDER BY valid_from, created_at, hours_id), 0) AS BIGINT) AS closed_by FROM begins""",
-    "p6_found": f"""WITH {READINGS}, {USABLE}, parks AS (
+    "p6_found": f"""WITH {q.READINGS}, {q.USABLE}, parks AS (
   SELECT ingest_seq, us, CASE regexp_extract(entity, '^[^0-9]*') WHEN 'USH' THEN 'UH' ELSE regexp_extract(entity, '^[^0-9]*') END AS park FROM readings
 ), dated AS (
-  SELECT *, CAST(CAST((make_timestamp(us) AT TIME ZONE 'UTC') AT TIME ZONE {_PARK_ZONE.format(p="park")} - INTERVAL 6 HOUR AS DATE) AS VARCHAR) AS park_date FROM parks
+  SELECT *, CAST(CAST((make_timestamp(us) AT TIME ZONE 'UTC') AT TIME ZONE {q.PARK_ZONE.format(p="park")} - INTERVAL 6 HOUR AS DATE) AS VARCHAR) AS park_date FROM parks
 ), ranked AS (
   SELECT d.ingest_seq, u.hours_id, row_number() OVER (PARTITION BY d.ingest_seq ORDER BY CASE u.version_type WHEN 'official' THEN 1 WHEN 'final' THEN 2 WHEN 'predicted' THEN 3 ELSE 4 END,
     u.valid_from DESC, u.created_at DESC, u.hours_id) AS rn
@@ -123,5 +63,5 @@ SELECT hours_id, CAST(coalesce(lead(hours_id) OVER (PARTITION BY park, park_date
   WHERE u.version_type IN ('official', 'final', 'predicted', 'historical')
 )
 SELECT ingest_seq, hours_id FROM ranked WHERE rn = 1""",
-    **getattr(reference, "SQL", {}),
+    **reference.SQL,
 }

@@ -63,7 +63,7 @@ def p4_filled(spark: SparkSession, d: str) -> DataFrame:
     """Every missing value with its fill, the method and the distance in days."""
     rows = fill_hours(_hours(spark, d))
     fields = F.array(*[
-        F.struct(F.lit(name).alias("field_name"), F.col(out).cast("string").alias("value"), F.col(f"{out}_method").alias("method"), F.col(f"{out}_distance").cast("bigint").alias("distance_days"))
+        F.struct(F.lit(name).alias("field_name"), F.col(out).cast("string").alias("value"), F.col(f"{out}_method").alias("method"), F.col(f"{out}_distance").cast("double").alias("distance_days"))
         for name, out in (("opening_time", "opening_minute"), ("closing_time", "closing_minute"), ("source", "source_filled"))
     ])
     return rows.select("hours_id", F.inline(fields)).where(F.col("method") != "observed")
@@ -76,7 +76,9 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_history(spark: SparkSession, d: str) -> DataFrame:
     """The gapless history of park hours."""
-    return hours_history(usable_hours(_hours(spark, d)))
+    history = hours_history(usable_hours(_hours(spark, d)))
+    ends = {f"{c}_us": F.unix_micros(c).cast("double") for c in ("valid_from", "valid_until")}
+    return history.withColumns(ends | {"closed_by": F.col("closed_by").cast("double")}).drop("valid_from", "valid_until")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

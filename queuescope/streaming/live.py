@@ -48,23 +48,26 @@ def to_readings(raw: DataFrame, mapping: DataFrame, prefix_of_park: dict[str, st
     })
 
 
-def exact_sink(path: str, keys: list[str] = KEYS) -> Callable[[DataFrame, int], None]:
+def exact_sink(path: str, keys: list[str] = KEYS, at: str = "observed_at") -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that appends only rows whose key the table does not have.
 
-    Exactly once: a batch writes its own folder, and a repeated batch replaces it
+    The table is parted by day of ``at`` (one of the keys) and batch; a batch is compared with the
+    days it has rows for and no others.  Exactly once: a repeated batch replaces its own folders
     and is compared with the other batches only.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fresh = batch.dropDuplicates(keys)
-        stored = [str(s.getPath()) for s in files.listStatus(folder)] if files.exists(folder) else []
-        others = [p for p in stored if p.rsplit("/", 1)[1].startswith("batch=") and not p.endswith(f"batch={number}")]
-        if others:
-            fresh = fresh.join(spark.read.parquet(*others).select(*keys), keys, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        fresh = batch.dropDuplicates(keys).withColumns({"seen_day": F.date_format(at, "yyyy-MM-dd"), "batch": F.lit(number)})
+        # one name for each day of the batch
+        days = [r[0] or "__HIVE_DEFAULT_PARTITION__" for r in fresh.select("seen_day").distinct().collect()]
+        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        files = path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        stored = [p for p in (f"{path}/seen_day={day}" for day in days) if files.exists(path_of(p))]
+        if stored:
+            known = spark.read.option("basePath", path).parquet(*stored).where(F.col("batch") != number)
+            fresh = fresh.join(known.select(*keys), keys, "left_anti")
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("seen_day", "batch").parquet(path)
 
     return write
 
@@ -76,6 +79,24 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
     return query
 
 
+def run_every(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, interval: str = "300 seconds") -> StreamingQuery:
+    """Polls for new input at a fixed interval until it is stopped; what waits between two polls is one batch."""
+    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
+
+
+def isolated(sinks: dict[str, Callable[[DataFrame, int], None]], by: str, failed: Callable[[str, int, Exception], None]) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that gives each source's rows (``by``) to its own sink; one that fails is reported and does not stop the others."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        for name, sink in sinks.items():
+            try:
+                sink(batch.where(F.col(by) == name), number)
+            except Exception as error:  # noqa: BLE001
+                failed(name, number, error)
+
+    return write
+
+
 def recent_unique(stream: DataFrame, keys: list[str] = KEYS, at: str = "observed_at", within: str = "2 days") -> DataFrame:
     """Repeats dropped with bounded state: those that arrive within the watermark of the first."""
     return stream.withWatermark(at, within).dropDuplicatesWithinWatermark(keys)

@@ -8,7 +8,7 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import functions as F
 
 from queuescope.operators.fill import fill_hours
-from queuescope.operators.history import change_history, hours_history
+from queuescope.operators.history import change_history, hours_history, snapshot_history
 from queuescope.operators.hours import usable_hours, with_hours_instants
 from queuescope.operators.known import hours_as_known
 
@@ -65,10 +65,36 @@ def test_history_equals_plain_walk(spark):
     rows = [(rng.choice(["a", "b", None]), rng.randrange(40), i, rng.choice([1, 2, None]), rng.choice([True, False])) for i in range(300)]
     frame = spark.createDataFrame(rows, "k string, at bigint, id bigint, x int, y boolean")
     for size in (7, 10_000):
-        out = change_history(frame, ["k"], [F.col("at"), F.col("id")], F.floor(F.col("at") / 9), ["x", "y"], "id", "at", lead_block=size)
+        out = change_history(frame, ["k"], ["at", "id"], F.floor(F.col("at") / 9), ["x", "y"], "id", "at", lead_block=size)
         assert {r["id"]: r["closed_by"] for r in out.collect()} == _plain_history(rows)
 
 
+def test_snapshots_equal_plain_walk(spark):
+    rng = random.Random(6)
+    shown = {}  # (time, key) -> attributes
+    for at in range(5, 75, 10):
+        for key in ("a", "b", "c", None):
+            if rng.random() < 0.7:
+                shown[at, key] = (rng.choice([1, None]), rng.choice([True, False]))
+    rows = [(k, at, *v) for (at, k), v in shown.items()]
+    frame = spark.createDataFrame([*rows, rows[0], ("a", None, 1, True)], "k string, at bigint, x int, y boolean")
+    want, times = [], sorted({at for at, _ in shown})
+    for key in ("a", "b", "c", None):
+        before = None
+        for at in times:
+            now = shown.get((at, key))
+            if now != before:
+                if before is not None:
+                    want[-1][3] = at
+                if now is not None:
+                    want.append([key, "inserted" if before is None else "changed", at, None, *now])
+            before = now
+    for size in (2, 10_000):
+        got = [[r["k"], r["change"], r["valid_from"], r["valid_until"], r["x"], r["y"]] for r in snapshot_history(frame, ["k"], "at", ["x", "y"], size).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert snapshot_history(frame.where("k = 'none'"), ["k"], "at", ["x", "y"]).count() == 0
+
+
 def test_hours_history_ignores_repeats_and_null_flags(spark):
     rows = [row(1), row(2, valid=5, morning=None), row(3, valid=9, opening="9:00 AM"), row(4, valid=12, closing="23:00"), row(5, valid=20, closing="nan"), row(6, valid=30), row(7, park=" mk ", valid=40, evening=True)]
     hours = usable_hours(with_hours_instants(spark.createDataFrame(rows, SCHEMA)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 from datetime import datetime
 
 import pytest
@@ -65,6 +66,77 @@ def test_facts_round_trip_and_pruning(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_staging_is_compared_with_its_own_partitions_only(spark, tmp_path):
+    path, staging = tmp_path / "facts", str(tmp_path / "staging")
+    rows = [("MK1", datetime(2026, 1, d, 10), "POSTED", 30, "mk", datetime(2026, 1, d)) for d in (1, 2)]
+    sinks.write_facts(spark.createDataFrame(rows, FACT), str(path))
+    for f in path.glob("park_code=mk/park_date=2026-01-01/*.parquet"):
+        f.write_bytes(b"damaged")  # a partition that is not touched is never opened
+    spark.createDataFrame([rows[1], ("MK1", datetime(2026, 1, 2, 11), "POSTED", 30, "mk", datetime(2026, 1, 2))], FACT).write.parquet(staging)
+    assert sinks.merge_staging(spark, staging, str(path)) == 1
+
+
+def test_a_batch_is_compared_with_its_own_days_only(spark, tmp_path):
+    path = tmp_path / "sink"
+    sink = live.exact_sink(str(path))
+    rows = [("MK1", datetime(2026, 1, d, 10), "POSTED", 30) for d in (1, 2)]
+    schema = "entity_code string, observed_at timestamp, wait_time_type string, wait_time_minutes int"
+    sink(spark.createDataFrame(rows, schema), 0)
+    for f in path.glob("seen_day=2026-01-01/**/*.parquet"):
+        f.write_bytes(b"damaged")
+    sink(spark.createDataFrame([rows[1], ("MK1", datetime(2026, 1, 2, 10), "POSTED", 31)], schema), 1)
+    assert spark.read.parquet(f"{path}/seen_day=2026-01-02").count() == 2
+
+
+def test_one_failing_source_does_not_stop_the_others():
+    seen, failures = [], []
+
+    class Batch:
+        def where(self, condition):
+            return self
+
+    def bad(batch, number):
+        raise ValueError("broken")
+
+    live.isolated({"a": bad, "b": lambda batch, number: seen.append(number)}, "park_code", lambda name, number, error: failures.append((name, str(error))))(Batch(), 3)
+    assert (seen, failures) == ([3], [("a", "broken")])
+
+
+def test_a_state_file_is_never_absent(spark, tmp_path):
+    path = str(tmp_path / "s.json")
+    sinks.write_json({"v": 0}, spark, path)
+    seen, stop = [], threading.Event()
+
+    def look():
+        while not stop.is_set():
+            seen.append((tmp_path / "s.json").exists())
+
+    looker = threading.Thread(target=look)
+    looker.start()
+    for v in range(1, 30):
+        sinks.write_json({"v": v}, spark, path)
+    stop.set()
+    looker.join()
+    assert all(seen) and sinks.read_json(spark, path) == {"v": 29}
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["s.json"]
+
+
+def test_lock_retention_and_reports(spark, tmp_path):
+    with sinks.lock(spark, str(tmp_path / "lock")):
+        with pytest.raises(RuntimeError, match="held"), sinks.lock(spark, str(tmp_path / "lock")):
+            pass
+    with sinks.lock(spark, str(tmp_path / "lock")), sinks.lock(spark, str(tmp_path / "lock"), stale_hours=-1.0):
+        pass
+    for i in range(4):
+        (tmp_path / f"log{i}").write_text("x")
+    logs = spark.createDataFrame([("a", str(tmp_path / f"log{i}"), datetime(2024, 1, i + 1)) for i in range(4)], "kind string, path string, modified timestamp")
+    assert sinks.delete_outdated(spark, logs, 1, "2024-01-03", dry_run=True) == 2
+    assert sinks.delete_outdated(spark, logs, 1, "2024-01-03") == 2
+    assert sorted(p.name for p in tmp_path.glob("log*")) == ["log2", "log3"]
+    assert sinks.markdown(spark.range(5), rows=2).endswith("| 1 |\n\n3 more rows are not shown.")
+    assert "No data available." in sinks.report("T", {"empty": spark.range(0), "some": spark.range(1)})
+
+
 def test_versions_state_and_reports(spark, tmp_path):
     root = str(tmp_path / "dim")
     sinks.write_version(spark.range(3), root, "1")
@@ -94,15 +166,15 @@ def test_live_stream_is_exactly_once(spark, tmp_path):
     _payload(inbox, "a.json", "mk", [_ride(7, 30, "2024-01-01T15:00:00Z"), _ride(8, None, "2024-01-01T15:00:00Z")], [_ride(9, 10, "2024-01-01T08:00:00Z"), _ride(5, 1, "2024-01-01T08:00:00Z", False), _ride(6, 1, "2024-01-01T08:00:00Z", name="Get Lightning Lane X")])
     readings = lambda: live.to_readings(live.feed_stream(spark, str(inbox)), mapping, {"mk": "MK"}, as_of="2024-01-02 10:00:00")
     live.run_available(readings(), live.exact_sink(out), state)
-    rows = {r["entity_code"]: r for r in spark.read.parquet(f"{out}/batch=*").collect()}
+    rows = {r["entity_code"]: r for r in spark.read.parquet(out).collect()}
     assert set(rows) == {"MK101", "MK9"} and str(rows["MK9"]["park_date"]) == "2023-12-31" and rows["MK9"]["is_stale"] and not rows["MK101"]["is_stale"]
     _payload(inbox, "b.json", "mk", [_ride(7, 30, "2024-01-01T15:00:00Z"), _ride(7, 35, "2024-01-01T15:05:00Z")])
     live.run_available(readings(), live.exact_sink(out), state)
-    assert spark.read.parquet(f"{out}/batch=*").count() == 3
+    assert spark.read.parquet(out).count() == 3
     sink = live.exact_sink(out)
-    again = spark.read.parquet(f"{out}/batch=1").drop("batch")
+    again = spark.read.parquet(out).where("batch = 1").drop("batch", "seen_day")
     sink(again, 1)
-    assert spark.read.parquet(f"{out}/batch=*").count() == 3
+    assert spark.read.parquet(out).count() == 3
 
 
 def test_windows_over_streams(spark, tmp_path):
