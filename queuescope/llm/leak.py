@@ -10,8 +10,10 @@ consecutive positions whose shingles all belong to items: a run shorter than a
 window is out by length, a window that does not lie inside the run by position.
 The rest is verified word by word.
 
-Shingles of no item are dropped where the document is read, by a bit filter of
-fixed size, so what is shuffled follows the number of leaks, not the corpus.
+Shingles of no item are dropped where the document is read, by a bit filter with
+about 32 bits for each different shingle of the items, so what is shuffled follows
+the number of leaks, not the corpus.  Above 2^23 shingles the filter stays at its
+largest size (32 MB): more foreign shingles pass, which costs time and never a result.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from queuescope.session import cut, spread
 SHINGLE = 5
 #: Words of the shortest passage that counts.
 RUN = 12
-#: log2 of the filter's bits: 2 MB are broadcast, however many items there are.
-FILTER_BITS = 24
+#: log2 of the filter's bits, least and most: 8 KB to 32 MB are broadcast.
+LEAST_BITS, MOST_BITS = 16, 28
 #: Words held at once while a batch of documents is read.
 WORDS_AT_ONCE = 200_000
 
@@ -93,7 +95,12 @@ def item_shingles(items: DataFrame, item_id: str, text: str) -> DataFrame:
     return rows.select("item", F.xxhash64("item", "text").alias("key"), "text").mapInArrow(build, f"item {kind}, key bigint, words array<string>, shingles array<bigint>")
 
 
-def shingle_filter(shingles: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+def filter_bits(n: int) -> int:
+    """Bits (log2) of a filter for ``n`` different shingles."""
+    return min(MOST_BITS, max(LEAST_BITS, (32 * max(1, n) - 1).bit_length()))
+
+
+def shingle_filter(shingles: DataFrame, bits: int) -> np.ndarray:
     """The bit filter of a ``shingle`` column: 2^bits bits, put together from one row per used 64-bit word."""
     first, second = F.shiftrightunsigned("shingle", 64 - bits), F.shiftrightunsigned("shingle", 8).bitwiseAND(F.lit((1 << bits) - 1).cast("bigint"))
     slots = shingles.select(F.explode(F.array(first, second)).alias("slot"))
@@ -137,7 +144,7 @@ def _runs(texts: list[tuple[int, int, list[str]]], hashed: _Hashes, table: np.nd
             yield texts[owner][0], texts[owner][1], first - int(begins[owner]), words[first : last + SHINGLE], keys[run].view(np.int64).tolist()
 
 
-def document_runs(documents: DataFrame, doc_id: str, text: str, table: np.ndarray, bits: int = FILTER_BITS, run: int = RUN) -> DataFrame:
+def document_runs(documents: DataFrame, doc_id: str, text: str, table: np.ndarray, bits: int, run: int = RUN) -> DataFrame:
     """One pass over all mails: their runs of item shingles, and the shingles' document counts.
 
     Columns: doc (null in count rows), part, first, words, shingles; a count row
@@ -171,7 +178,7 @@ def document_runs(documents: DataFrame, doc_id: str, text: str, table: np.ndarra
     return documents.select(doc_id, text).mapInArrow(read, f"doc {kind}, part int, first int, words array<string>, shingles array<bigint>")
 
 
-def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", run: int = RUN, bits: int = FILTER_BITS) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", run: int = RUN, bits: int | None = None) -> DataFrame:
     """Every mail and the item it gives away: doc, item, ``windows`` (different ones found), ``first`` (word position).
 
     Rows with a null id, and null or empty texts, give nothing.  Repeated mails
@@ -179,7 +186,9 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
     """
     wanted = cut(item_shingles(items.where(F.col(item_id).isNotNull()), item_id, text))
     tokens = wanted.select("key", F.posexplode("shingles").alias("start", "shingle"))
-    table = shingle_filter(tokens.select("shingle").distinct(), bits)
+    different = cut(tokens.select("shingle").distinct())
+    bits = filter_bits(different.count()) if bits is None else bits
+    table = shingle_filter(different, bits)
     seen = cut(document_runs(spread(documents.where(F.col(doc_id).isNotNull()).select(doc_id, text)), doc_id, text, table, bits, run))
     pairs = F.filter(F.sequence(F.lit(0), F.size("shingles") - 1), lambda i: i % 2 == 0)
     counted = seen.where(F.col("doc").isNull()).select(F.explode(F.transform(pairs, lambda i: F.struct(F.get("shingles", i).alias("shingle"), F.get("shingles", i + 1).alias("n")))).alias("c"))
@@ -191,9 +200,12 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
         "key", "start", F.min(F.struct("documents", F.col("start").alias("at"), "shingle")).over(ahead).alias("rarest"), F.count("documents").over(ahead).alias("present")
     )
     prefixes = ranked.where(F.col("present") == size).select("key", "start", (F.col("rarest.at") - F.col("start")).alias("offset"), "rarest.shingle")
-    found = seen.where(F.col("doc").isNotNull()).withColumn("n", F.size("shingles"))
-    positions = found.select("doc", "part", "first", F.col("words").alias("said"), "n", F.posexplode("shingles").alias("at", "shingle"))
+    found = seen.where(F.col("doc").isNotNull())
+    # a position carries the words of the windows that may hold it, so a long run costs its length and no more
+    around = F.transform(F.col("shingles"), lambda key, at: F.struct(at.alias("at"), key.alias("shingle"), F.slice("words", F.greatest(at - (size - 1), F.lit(0)) + 1, F.lit(size - 1 + run)).alias("said")))
+    positions = found.select("doc", "part", "first", F.size("shingles").alias("n"), F.inline(around))
     begin = F.col("at") - F.col("offset")
     candidates = positions.join(prefixes, "shingle").where((begin >= 0) & (begin + size <= F.col("n")))
-    verified = candidates.join(wanted.select("item", "key", "words"), "key").where(F.slice("said", begin + 1, F.lit(run)) == F.slice("words", F.col("start") + 1, F.lit(run)))
+    inside = begin - F.greatest(F.col("at") - (size - 1), F.lit(0))
+    verified = candidates.join(wanted.select("item", "key", "words"), "key").where(F.slice("said", inside + 1, F.lit(run)) == F.slice("words", F.col("start") + 1, F.lit(run)))
     return verified.groupBy("doc", "item").agg(F.count_distinct("key", "start").alias("windows"), F.min(F.col("first") + begin).alias("first"))

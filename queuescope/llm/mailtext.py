@@ -15,11 +15,12 @@ from typing import NamedTuple
 
 
 class Part(NamedTuple):
-    """One leaf of a message: its kind, whether it is an attachment, its decoded text."""
+    """One leaf of a message: its kind, whether it is (in) an attachment, its decoded text, and the set of alternatives it belongs to (0 if none)."""
 
     kind: str  # "plain" or "html"
     attached: bool
     text: str
+    choice: int = 0
 
 
 _HEADER = re.compile(r"^(content-type|content-transfer-encoding|content-disposition)[ \t]*:[ \t]*(.*(?:\n[ \t]+.*)*)", re.I | re.M)
@@ -27,7 +28,8 @@ _PARAM = re.compile(r"(boundary|charset|name|filename)\s*=\s*(?:\"([^\"]*)\"|([^
 _BLANK = re.compile(r"\n[ \t]*\n")
 _QP_SOFT = re.compile(r"=[ \t]*\n")
 _QP_RUN = re.compile(r"(?:=[0-9A-Fa-f]{2})+")
-_NOT_BASE64 = re.compile(r"[^A-Za-z0-9+/]+")
+_NOT_BASE64 = re.compile(r"[^A-Za-z0-9+/=]+")
+_BASE64_RUN = re.compile(r"([^=]*)(=*)")
 _BREAK = re.compile(r"<\s*(?:br|hr)\b[^>]*>", re.I)
 _CELL = re.compile(r"<\s*/?\s*(?:td|th)\b[^>]*>", re.I)
 _BLOCK = re.compile(r"<\s*/?\s*(?:p|div|tr|table|ul|ol|li|h[1-6]|blockquote|pre|body|html|head|title)\b[^>]*>", re.I)
@@ -35,7 +37,6 @@ _DROPPED = re.compile(r"<\s*(script|style)\b.*?<\s*/\s*\1\s*>|<!--.*?-->", re.I
 _TAG = re.compile(r"</?[A-Za-z][^<>]*>|<![A-Za-z][^<>]*>")
 
 
-
 def split_head(text: str) -> tuple[str, str]:
     """Header block and body.  A leading blank line means there are no headers."""
     if text.startswith("\n"):
@@ -52,14 +53,61 @@ def undo_quoted_printable(body: str, charset: str = "utf-8") -> str:
     return _QP_RUN.sub(lambda m: _bytes_to_text(bytes.fromhex(m[0].replace("=", "")), charset), joined)
 
 
+#: Characters up to which a run that is no text when decoded is taken for plain words.
+_SHORT_RUN = 40
+
+
 def undo_base64(body: str, charset: str = "utf-8") -> str:
-    """Base64 text.  What cannot be decoded is returned as it stands."""
-    packed = _NOT_BASE64.sub("", body.split("=", 1)[0])
-    packed = packed[: len(packed) - (len(packed) % 4 == 1)]
+    """Base64 text, run by run: padding ends a run, and another may follow.
+
+    Characters outside the alphabet are skipped, but a line that has blanks inside or
+    is mostly made of others is no part of a run: it stays as it stands, like a
+    short run that does not decode to text (a footer's single word).
+    """
+    out: list[str] = []
+    letters: list[str] = []
+    written: list[str] = []
+
+    def close() -> None:
+        if letters:
+            out.append(_decoded("".join(letters), "\n".join(written), charset))
+            letters.clear()
+        written.clear()
+
+    for line in body.split("\n"):
+        bare = line.strip()
+        kept = _NOT_BASE64.sub("", bare)
+        if not bare:
+            if out and not letters:
+                out.append("\n")
+        elif len(kept) * 10 < len(bare) * 9 or " " in bare or "\t" in bare:
+            close()
+            out.append(line + "\n")
+        else:
+            for run in _BASE64_RUN.finditer(kept):
+                if run[1]:
+                    letters.append(run[1])
+                    written.append(run[0])
+                if run[2]:
+                    close()
+    close()
+    return "".join(out)
+
+
+def _decoded(letters: str, written: str, charset: str) -> str:
+    letters = letters[: len(letters) - (len(letters) % 4 == 1)]
     try:
-        return _bytes_to_text(base64.b64decode(packed + "=" * (-len(packed) % 4)), charset)
+        raw = base64.b64decode(letters + "=" * (-len(letters) % 4))
     except (binascii.Error, ValueError):
-        return body
+        return written + "\n"
+    if len(letters) <= _SHORT_RUN:
+        try:
+            raw.decode(charset)
+        except LookupError:
+            pass
+        except UnicodeDecodeError:
+            return written + "\n"
+    return _bytes_to_text(raw, charset)
 
 
 def _bytes_to_text(raw: bytes, charset: str) -> str:
@@ -89,51 +137,55 @@ def parts(text: str | None) -> list[Part]:
         return []
     if "\r" in text:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
-    head, body = split_head(text)
     found: list[Part] = []
-    _walk(head, body, found)
+    choices = 0
+    # (head, body, whether inside an attachment, set of alternatives) of what is still to be opened
+    waiting = [(*split_head(text), False, 0)]
+    while waiting:
+        head, body, inside, choice = waiting.pop()
+        fields = {m[1].lower(): m[2] for m in reversed(list(_HEADER.finditer(head)))}
+        said = fields.get("content-type", "text/plain")
+        kind = said.split(";", 1)[0].strip().lower()
+        params = {m[1].lower(): m[2] if m[2] is not None else m[3] for m in _PARAM.finditer(said)}
+        placed = fields.get("content-disposition", "").lower()
+        attached = inside or placed.startswith("attachment")
+        if kind.startswith("multipart/") and params.get("boundary"):
+            if kind == "multipart/alternative":
+                choices += 1
+                choice = choices
+            waiting.extend((*part, attached, choice) for part in reversed(_sections(body, params["boundary"])))
+        elif kind == "message/rfc822":
+            waiting.append((*split_head(body), True, choice))
+        elif kind.startswith(("text/", "multipart/")) or "/" not in kind:
+            text_of = _undone(body, fields.get("content-transfer-encoding", "").strip().lower(), params.get("charset", "utf-8"))
+            attached = attached or "name" in params or "filename" in params
+            found.append(Part("html", attached, html_to_text(text_of), choice) if kind == "text/html" else Part("plain", attached, text_of, choice))
     return found
 
 
-def _walk(head: str, body: str, found: list[Part]) -> None:
-    waiting = [(head, body)]
-    while waiting:
-        _open(*waiting.pop(), found, waiting)
-
-
-def _open(head: str, body: str, found: list[Part], waiting: list[tuple[str, str]]) -> None:
-    fields = {m[1].lower(): m[2] for m in reversed(list(_HEADER.finditer(head)))}
-    said = fields.get("content-type", "text/plain")
-    kind = said.split(";", 1)[0].strip().lower()
-    params = {m[1].lower(): m[2] if m[2] is not None else m[3] for m in _PARAM.finditer(said)}
-    if kind.startswith("multipart/") and params.get("boundary"):
-        edge = "\n--" + params["boundary"]
-        sections = ("\n" + body).split(edge)
-        inside = []
-        for section in sections[1:]:
-            if section.startswith("--"):
-                break
-            # the rest of the boundary's own line is no content
-            inside.append(split_head(section.split("\n", 1)[1] if "\n" in section else ""))
-        waiting.extend(reversed(inside))
-        return
-    if kind == "message/rfc822":
-        waiting.append(split_head(body))
-        return
-    if not kind.startswith("text/") and "/" in kind and not kind.startswith("multipart/"):
-        return
-    charset = params.get("charset", "utf-8")
-    coding = fields.get("content-transfer-encoding", "").strip().lower()
+def _sections(body: str, boundary: str) -> list[tuple[str, str]]:
+    """Head and body of each part between a boundary's lines."""
+    inside = []
+    for section in ("\n" + body).split("\n--" + boundary)[1:]:
+        if section.startswith("--"):
+            break
+        # the rest of the boundary's own line is no content
+        inside.append(split_head(section.split("\n", 1)[1] if "\n" in section else ""))
+    return inside
+
+
+def _undone(body: str, coding: str, charset: str) -> str:
+    """A body without its transfer encoding."""
     if coding == "quoted-printable":
-        body = undo_quoted_printable(body, charset)
-    elif coding == "base64":
-        body = undo_base64(body, charset)
-    placed = fields.get("content-disposition", "").lower()
-    attached = placed.startswith("attachment") or "name" in params or "filename" in params
-    if kind == "text/html":
-        found.append(Part("html", attached, html_to_text(body)))
-    else:
-        found.append(Part("plain", attached, body))
+        return undo_quoted_printable(body, charset)
+    return undo_base64(body, charset) if coding == "base64" else body
+
+
+def inline_texts(text: str | None) -> list[str]:
+    """The texts that a mail shows as its own body: all inline parts in order, one kind of each set of alternatives (plain, if it has any)."""
+    shown = [p for p in parts(text) if not p.attached and p.text.strip()]
+    plain = {p.choice for p in shown if p.kind == "plain" and p.choice}
+    return [p.text for p in shown if not p.choice or p.kind == "plain" or p.choice not in plain]
 
 
 #: Marks that mail programs put before quoted lines, nested in any mix.

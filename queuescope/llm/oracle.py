@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from queuescope.plans.oracle import _PAIRS, READINGS
+from queuescope.plans.problem_sql import PAIRS, READINGS
 
 SQL: dict[str, str] = {
-    "p3_found": f"WITH {READINGS} {_PAIRS}",
-    "p3_repeats": f"WITH {READINGS} SELECT ingest_seq_b AS ingest_seq, min(ingest_seq_a) AS repeats_seq FROM ({_PAIRS}) GROUP BY 1",
+    "p3_found": f"WITH {READINGS} {PAIRS}",
+    "p3_repeats": f"WITH {READINGS} SELECT ingest_seq_b AS ingest_seq, min(ingest_seq_a) AS repeats_seq FROM ({PAIRS}) GROUP BY 1",
     "p7_within_bound": """SELECT dategroupid, hour, count(*) AS n, TRUE AS within FROM posted_aggregates
 WHERE posted_median IS NOT NULL AND NOT isnan(posted_median) GROUP BY dategroupid, hour""",
+    "p7_large_groups": "SELECT l_returnflag, count(l_extendedprice) AS n, TRUE AS within FROM lineitem GROUP BY l_returnflag",
+    "p8_packed": """SELECT s.capacity_tokens, count(*) AS n_items, CAST(sum(coalesce(octet_length(encode(d.text)), 0)) AS BIGINT) AS tokens, 0 AS overfull, 0 AS needless_splits, TRUE AS tight
+FROM documents d, (SELECT DISTINCT capacity_tokens FROM container_specs WHERE capacity_tokens > 0) s GROUP BY s.capacity_tokens""",
     "p8_found": """SELECT DISTINCT s.capacity_tokens, d.doc_id FROM documents d, container_specs s WHERE octet_length(encode(d.text)) > s.capacity_tokens""",
 }

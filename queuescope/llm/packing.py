@@ -7,7 +7,7 @@ by a bitset: bit s is set when s can be made, each length is added by shifting
 (equal lengths in powers of two), and the counts are read back from the bitsets.
 
 An item above the capacity fills whole containers of its own; its rest is an
-item like any other.  Items are dealt by a hash of their id into shards of about
+item like any other.  Items are dealt by a hash of their row's number into shards of about
 ``shard_items``, packed independently; a shard leaves one poorly filled container at most,
 and no task ever sees more than a shard.
 """
@@ -15,6 +15,7 @@ and no task ever sees more than a shard.
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,10 +23,6 @@ from pyspark.sql import functions as F
 
 from queuescope.session import cut
 
-#: Most capacities that one call packs for; they are parameters of the plan, not data.
-MOST_CAPACITIES = 1000
-
-
 def byte_tokens(text: Column) -> Column:
     """Tokens of a byte-level tokenizer without merges: one per UTF-8 byte."""
     return F.octet_length(text).cast("bigint")
@@ -89,33 +86,34 @@ def pack(sizes: list[int], capacity: int, window: int = 64) -> list[int]:
     return placed
 
 
-def pack_items(items: DataFrame, item_id: str, tokens: str, capacities: list[int], window: int = 64, shard_items: int = 10_000) -> DataFrame:
+def pack_items(items: DataFrame, item_id: str, tokens: str, capacities: Sequence[int] | Column, window: int = 64, shard_items: int = 10_000) -> DataFrame:
     """Where every piece of every item goes, for each capacity.
 
     Columns: capacity_tokens, the id, ``item_tokens``, ``piece`` (from 0), ``pieces``,
     ``piece_tokens`` and ``container``.  Items without tokens (null or 0) need no
     space: they come out once with no container.  Ids should be unique; rows
-    that repeat an id are packed as items of their own.  Capacities must be
-    positive; equal ones count once, and without any the result is empty.
+    that repeat an id are packed as items of their own, and dealt out like all others.
+    ``capacities`` are numbers or an array column (such as a scalar subquery over a table
+    of them); those that are null or not positive are left out, equal ones count once,
+    and without any the result is empty.
     """
-    wanted = sorted(set(capacities))
-    if len(wanted) > MOST_CAPACITIES or wanted and wanted[0] < 1:
-        raise ValueError(f"at most {MOST_CAPACITIES} capacities, all positive, can be packed for")
-    narrow = cut(items.select(F.col(item_id).alias("id"), F.coalesce(F.col(tokens), F.lit(0)).cast("bigint").alias("item_tokens")))
+    listed = capacities if isinstance(capacities, Column) else F.array(*[F.lit(c) for c in capacities])
+    wanted = F.array_distinct(listed.cast("array<bigint>"))
+    narrow = cut(items.select(F.col(item_id).alias("id"), F.coalesce(F.col(tokens), F.lit(0)).cast("bigint").alias("item_tokens"), F.monotonically_increasing_id().alias("row")))
     shards = max(1, -(-narrow.count() // shard_items))
-    each = narrow.select("id", "item_tokens", F.explode(F.array(*[F.lit(c) for c in wanted]).cast("array<bigint>")).alias("capacity_tokens"))
+    each = narrow.select("id", "row", "item_tokens", F.explode(wanted).alias("capacity_tokens")).where(F.col("capacity_tokens") > 0)
     whole = F.floor(F.col("item_tokens") / F.col("capacity_tokens"))
     each = each.withColumns({"whole": F.when(F.col("item_tokens") > F.col("capacity_tokens"), whole).otherwise(F.lit(0)).cast("bigint")})
     each = each.withColumn("rest", F.col("item_tokens") - F.col("whole") * F.col("capacity_tokens"))
     each = each.withColumn("pieces", F.col("whole") + F.when(F.col("rest") > 0, 1).otherwise(0))
     out = ["capacity_tokens", "id", "item_tokens", "piece", "pieces", "piece_tokens", "container"]
     full = each.where(F.col("whole") > 0).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("whole") - 1)))
-    full = full.withColumns({"piece_tokens": F.col("capacity_tokens"), "container": F.concat_ws("-", F.lit("w"), "id", "piece")}).select(*out)
+    full = full.withColumns({"piece_tokens": F.col("capacity_tokens"), "container": F.concat_ws("-", F.lit("w"), "row", "piece")}).select(*out)
     empty = each.where(F.col("pieces") == 0).withColumns({"piece": F.lit(0).cast("bigint"), "piece_tokens": F.lit(0).cast("bigint"), "container": F.lit(None).cast("string")}).select(*out)
-    dealt = each.where(F.col("rest") > 0).withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
+    dealt = each.where(F.col("rest") > 0).withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["rest", "id"], kind="stable")
+        group = group.sort_values(["rest", "row"], kind="stable")
         numbers = pack(group["rest"].tolist(), int(group["capacity_tokens"].iloc[0]), window)
         shard = group["shard"].iloc[0]
         return pd.DataFrame({
@@ -125,7 +123,7 @@ def pack_items(items: DataFrame, item_id: str, tokens: str, capacities: list[int
 
     kind = items.schema[item_id].dataType.simpleString()
     schema = f"capacity_tokens long, id {kind}, item_tokens long, piece long, pieces long, piece_tokens long, container string"
-    packed = dealt.select("shard", "capacity_tokens", "id", "item_tokens", "whole", "rest", "pieces").groupBy("capacity_tokens", "shard").applyInPandas(fill, schema)
+    packed = dealt.select("shard", "capacity_tokens", "id", "row", "item_tokens", "whole", "rest", "pieces").groupBy("capacity_tokens", "shard").applyInPandas(fill, schema)
     return full.unionByName(packed).unionByName(empty).withColumnRenamed("id", item_id)
 
 

@@ -7,8 +7,8 @@ built before the shuffle, so a hot group sends one sketch per task, however
 many rows it has.
 
 With ``k`` items in the top buffer the rank of an answer is within
-``rank_error(k)`` of the asked rank (as a share of n) with 99 % confidence; up
-to about ``k`` values the answers are exact.
+``rank_error(k)`` of the asked rank (as a share of n) with 99 % confidence, that
+is for 99 of 100 answers; up to about ``k`` values the answers are exact.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Items of the top compactor; the bound is about 0.37 % of n.
+#: Items of the top compactor; the bound is 0.383 % of n.
 DEFAULT_K = 1200
 
 # Coefficient and exponent of the published error fit for single ranks at 99 % confidence.

@@ -13,7 +13,7 @@ from queuescope.llm.packing import byte_tokens, containers, pack_items
 from queuescope.llm.quality import quality
 from queuescope.llm.quantiles import DEFAULT_K, merge, percentiles, rank_error, sketches
 from queuescope.operators.readings import typed_readings
-from queuescope.session import shared_folder, table
+from queuescope.session import cut, shared_folder, table
 
 
 #: Loads in which p3 takes the batches, in order of batch_id; the pairs do not depend on it.
@@ -51,20 +51,34 @@ def p7_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return percentiles(merge(per_build, ["dategroupid", "hour"]))
 
 
+def _checked(rows: DataFrame, parts: list[str], keys: list[str], value: str, ranks: tuple[float, ...], k: int) -> DataFrame:
+    """Per group: its values, and whether the merged answers' exact ranks keep the bound as often as it promises."""
+    real = rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*parts, F.col(value).cast("double").alias("v"))
+    answers = percentiles(merge(sketches(real, parts, "v", k), keys, k), ranks, k)
+    asked = F.array(*[F.struct(F.lit(r).alias("rank"), F.col(f"p{round(r * 100):02d}").alias("answer")) for r in ranks])
+    # values of a group are counted once each, so the join sees different values only
+    counted = real.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c"))
+    ranked = counted.join(answers.select(*keys, F.inline(asked)), keys)
+    sums = ranked.groupBy(*keys, "rank").agg(
+        F.sum(F.when(F.col("v") < F.col("answer"), F.col("c")).otherwise(0)).alias("below"), F.sum(F.when(F.col("v") <= F.col("answer"), F.col("c")).otherwise(0)).alias("upto"), F.sum("c").alias("n")
+    )
+    n, slack = F.col("n"), rank_error(k)
+    within = (F.col("below") <= n * (F.col("rank") + slack) + 1) & (F.col("upto") >= n * (F.col("rank") - slack) - 1)
+    return sums.groupBy(*keys).agg(F.max("n").alias("n"), (F.avg(within.cast("double")) >= (1.0 if len(ranks) == 1 else 0.9)).alias("within"))
+
+
 def p7_within_bound(spark: SparkSession, d: str) -> DataFrame:
     """Per date group and hour: the values, and whether the merged median's exact rank is within the bound."""
-    rows = table(spark, d, "posted_aggregates").where(F.col("posted_median").isNotNull() & ~F.isnan("posted_median"))
-    answers = percentiles(merge(sketches(rows, ["built_on", "dategroupid", "hour"], "posted_median"), ["dategroupid", "hour"])).select("dategroupid", "hour", "p50")
-    ranked = rows.select("dategroupid", "hour", "posted_median").join(answers, ["dategroupid", "hour"])
-    below, upto = F.count_if(F.col("posted_median") < F.col("p50")), F.count_if(F.col("posted_median") <= F.col("p50"))
-    n, slack = F.count(F.lit(1)), rank_error(DEFAULT_K)
-    within = (below <= n * (0.5 + slack) + 1) & (upto >= n * (0.5 - slack) - 1)
-    return ranked.groupBy("dategroupid", "hour").agg(n.alias("n"), within.alias("within"))
+    return _checked(table(spark, d, "posted_aggregates"), ["built_on", "dategroupid", "hour"], ["dategroupid", "hour"], "posted_median", (0.5,), DEFAULT_K)
+
+
+def p7_large_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The same for groups far above k, merged from 7 parts each: of 19 percentiles of the price at least nine in ten keep the bound."""
+    return _checked(table(spark, d, "lineitem"), ["l_linenumber", "l_returnflag"], ["l_returnflag"], "l_extendedprice", tuple(i / 20 for i in range(1, 20)), 400)
 
 
 def _packed(spark: SparkSession, d: str) -> DataFrame:
-    # specifications without a positive capacity hold nothing; more than the operator's limit is an error there
-    capacities = [int(r[0]) for r in table(spark, d, "container_specs").where(F.col("capacity_tokens") > 0).select("capacity_tokens").distinct().limit(1001).collect()]
+    capacities = table(spark, d, "container_specs").agg(F.collect_set("capacity_tokens")).scalar()
     mails = table(spark, d, "documents").select("doc_id", byte_tokens(F.col("text")).alias("tokens"))
     return pack_items(mails, "doc_id", "tokens", capacities)
 
@@ -79,6 +93,19 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return containers(_packed(spark, d))
 
 
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    """Per capacity: items and tokens placed, overfull containers, needless splits, and whether at most 1 % of the containers and one for each shard of 10,000 mails are more than the tokens need."""
+    packed = cut(_packed(spark, d))
+    items = packed.groupBy("capacity_tokens").agg(
+        F.count_if(F.col("piece") == 0).alias("n_items"), F.sum("piece_tokens").alias("tokens"), F.count_if((F.col("pieces") > 1) & (F.col("item_tokens") <= F.col("capacity_tokens"))).alias("needless_splits")
+    )
+    used = packed.where(F.col("container").isNotNull()).groupBy("capacity_tokens", "container").agg(F.sum("piece_tokens").alias("used"))
+    boxes = used.groupBy("capacity_tokens").agg(F.count(F.lit(1)).alias("boxes"), F.count_if(F.col("used") > F.col("capacity_tokens")).alias("overfull"))
+    need = F.ceil(F.col("tokens") / F.col("capacity_tokens"))
+    tight = F.col("boxes") <= need * 1.01 + F.ceil(F.col("n_items") / 10_000) + 1
+    return items.join(boxes, "capacity_tokens").select("capacity_tokens", "n_items", "tokens", "overfull", "needless_splits", tight.alias("tight"))
+
+
 def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
     """Every mail and the item it gives away, with the number of different windows found."""
     return leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
@@ -99,4 +126,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_quality(spark, d).where(F.col("kind") != "prose").select("doc_id", "kind")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_repeats, p7_percentiles, p7_by_build, p7_within_bound, p8_found, p8_containers, p9_found, p9_leaks, p10_found, p10_quality)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_repeats, p7_percentiles, p7_by_build, p7_within_bound, p7_large_groups, p8_found, p8_containers, p8_packed, p9_found, p9_leaks, p10_found, p10_quality)}
