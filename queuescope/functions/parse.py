@@ -92,11 +92,12 @@ def zone_of_path(path: Column) -> Column:
 def priority_rows(frame: DataFrame, zone: Column) -> DataFrame:
     """Raw return-time rows (``PRIORITY_SCHEMA``) as readings: entity_code, observed_us, wait_time_type, wait_time_minutes.
 
-    Codes are trimmed and in upper case; the observation is local time in ``zone``.  Rows
-    without a code, a possible time or minutes are dropped.
+    Codes are trimmed and in upper case; the observation is local time in ``zone``, hour and
+    minute clipped to the clock.  Rows without a code, a possible time or minutes are dropped.
     """
     hour, minute = split_compact(F.col("FHOUR"))
-    minute = F.coalesce(minute, F.col("FMIN"), F.lit(0))
+    hour = F.least(F.greatest(F.coalesce(hour, F.lit(0)), F.lit(0)), F.lit(23))
+    minute = F.least(F.greatest(F.coalesce(minute, F.col("FMIN"), F.lit(0)), F.lit(0)), F.lit(59))
     seconds = F.lit(0).cast("decimal(16,6)")
     wall = wall_clock_us(F.try_make_timestamp_ntz(F.col("FYEAR"), F.col("FMONTH"), F.col("FDAY"), hour, minute, seconds))
     rows = frame.select(

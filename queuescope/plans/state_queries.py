@@ -28,7 +28,7 @@ def q_csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 _RAW = """raw AS (SELECT 'mk' || l_suppkey % 40 AS code, CAST(l_suppkey % 31 + 1 AS INT) AS dy, CAST(l_partkey % 12 + 1 AS INT) AS mo, CAST(l_orderkey % 24 AS INT) * 100 + CAST(l_partkey % 60 AS INT) AS fhour,
   CASE WHEN l_linenumber = 7 THEN 8000 ELSE CAST(l_suppkey % 24 AS INT) * 100 + CAST(l_partkey % 60 AS INT) END AS fwin FROM lineitem),
-parts AS (SELECT *, CASE WHEN fhour >= 100 THEN fhour // 100 ELSE fhour END AS oh, CASE WHEN fhour >= 100 THEN fhour % 100 ELSE 0 END AS om, CASE WHEN fwin >= 100 THEN fwin // 100 ELSE fwin END AS rh, CASE WHEN fwin >= 100 THEN fwin % 100 ELSE 0 END AS rm,
+parts AS (SELECT *, least(CASE WHEN fhour >= 100 THEN fhour // 100 ELSE fhour END, 23) AS oh, CASE WHEN fhour >= 100 THEN fhour % 100 ELSE 0 END AS om, least(CASE WHEN fwin >= 100 THEN fwin // 100 ELSE fwin END, 23) AS rh, CASE WHEN fwin >= 100 THEN fwin % 100 ELSE 0 END AS rm,
   TRY_CAST(concat('2023-', mo, '-', dy) AS DATE) AS day FROM raw),
 timed AS (SELECT *, rh * 60 + rm - oh * 60 - om AS gap, CAST(day AS TIMESTAMP) + to_minutes(CAST(oh * 60 + om - 540 AS INT)) AS tm FROM parts WHERE day IS NOT NULL)"""
 
