@@ -60,8 +60,11 @@ def test_items_over_the_capacity_and_odd_items(spark):
     assert report[10]["tokens"] == 84 and report[10]["containers"] >= 9
     assert pack_items(frame.where(F.lit(False)), "doc_id", "piece", [10]).count() == 0
     assert pack_items(frame, "doc_id", "piece", []).count() == 0
-    with pytest.raises(ValueError):
-        pack_items(frame, "doc_id", "piece", [0])
+    assert pack_items(frame, "doc_id", "piece", [0, -5]).count() == 0
+    from_table = spark.createDataFrame([(10,), (10,), (None,), (-1,), (1000,)], "c long").agg(F.collect_set("c")).scalar()
+    assert {r[0] for r in pack_items(frame, "doc_id", "piece", from_table).select("capacity_tokens").distinct().collect()} == {10, 1000}
+    many = spark.createDataFrame([(7, "x" * 40)] * 3000, "doc_id long, t string").select("doc_id", F.length("t").alias("n"))
+    assert pack_items(many, "doc_id", "n", [100], shard_items=100).select(F.split_part("container", F.lit("-"), F.lit(2))).distinct().count() > 20  # one id, many shards
 
 
 def test_an_item_of_the_capacity_is_one_piece(spark):
