@@ -1,29 +1,47 @@
 """Per-mail text statistics, and whether its own text is prose, a list, a table or junk.
 
 Method: a hidden Markov model labels every line of the own text from the line's
-statistics; the labels' shares decide.  The model is trained here: its emission
-and transition frequencies are counted over the lines of a bounded sample of
-mails (``sample_docs``), labelled by the line's shape where that is beyond
-doubt.  The statistics themselves are computed for all mails in full.
+statistics; the labels' shares decide.  The model is trained here on the lines
+of a bounded sample of mails (``sample_docs``): it starts from the lines whose
+shape is beyond doubt and is refined by hard expectation-maximisation, in which
+the lines in doubt take the labels of the model so far and are counted with them.
+The statistics themselves are computed for all mails in full.
+
+Disclaimers, footers and signatures are not known by their words: a line is boilerplate when its
+words stand in five-word shingles that the ends of many mails share.  The shingles are counted over
+all mails; a mail gives at most ``TAIL_WORDS`` of them, so those in a share ``BOILERPLATE_SHARE`` of the mails
+are at most TAIL_WORDS / BOILERPLATE_SHARE, which is all that is collected and broadcast.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from queuescope.llm.mailtext import parts
-from queuescope.session import spread
+from queuescope.llm.mailtext import inline_texts
+from queuescope.session import cut, spread
 
 KINDS = ("prose", "list", "table", "junk")
 #: Mails the model is fitted on at most.
 SAMPLE_DOCS = 2000
+#: Rounds of expectation-maximisation.
+ROUNDS = 3
+#: Words at the end of a mail's own text in which boilerplate is looked for, and words of a shingle.
+TAIL_WORDS, SHINGLE = 60, 5
+#: Share of all mails that have a shingle at their end from which it is boilerplate, and the least number of mails.
+BOILERPLATE_SHARE, BOILERPLATE_MAILS = 0.02, 10
+#: Share of a line's words that stand in such shingles from which the line is left out.
+COVERED = 0.7
+#: Words of two letters or more that a shingle needs, so that rows of numbers are never boilerplate.
+LEAST_LETTERED = 3
 
 # Frequent function words of English, German, French and Spanish.
 COMMON_WORDS = frozenset(
@@ -42,8 +60,8 @@ _FIELD = re.compile(r"^(?:from|to|cc|date|sent|subject|von|an|betreff|de|objet|a
 _SIGNATURE = re.compile(r"^--\s*$")
 _CLOSING = re.compile(r"^\s*(?:(?:best|kind|warm|with) )?(?:regards|wishes|thanks|cheers|sincerely|many thanks|viele grüße|mit freundlichen grüßen|gruß|cordialement|bien à vous|saludos|un saludo|atentamente)\s*[,.!]?\s*$", re.I)
 _GREETING = re.compile(r"^\s*(?:[^\W\d_]+\s){0,2}[^\W\d_]+,\s*$")
-_PERSONAL = re.compile(r"^\s*(?:tel\.? ?[+(\d]|staff no\.? \d)", re.I)
-_DISCLAIMER = re.compile(r"^\s*(?:this message and anything attached|notice: the views in this mail|please think of the hedges|diese nachricht ist vertraulich|ce message est confidentiel|este mensaje es confidencial|this e-?mail (?:and any|is confidential))", re.I)
+# Labels of telephone numbers in English, German, French and Spanish.
+_CONTACT = re.compile(r"^\s*(?:tel|telephone|phone|fax|mobile|cell|telefon|handy|tél|téléphone|portable|teléfono|móvil)\b\.?:?\s*[+(\d]", re.I)
 _BULLET = re.compile(r"^\s*(?:[-*+•·‣o]|\(?\d{1,4}[.)]|[a-zA-Z][.)])\s+\S")
 _ALIGNED = re.compile(r"\S(?: {2,}|\t)\S")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -56,18 +74,21 @@ _BROKEN = re.compile("[�\x80-\x9f]|Ã[\x80-\xbf‚ƒ„…†‡ˆ‰Š‹ŒŽ
 _ENDS = (".", "!", "?", ":", ";", ",", '"', "”", "»", "…", ")")
 
 
-def own_text(text: str | None) -> list[str]:
-    """The lines a mail's writer wrote: no headers, quoted mails, signature, disclaimer, attachments.
+def own_lines(text: str | None) -> list[str]:
+    """The lines a mail's writer wrote, boilerplate included: no headers, quoted mails, signature, attachments.
 
-    The first text part that is no attachment is read; null or empty mails have no lines.
+    All inline text parts are read, of alternatives one; null or empty mails have no lines.
     """
-    shown = [p for p in parts(text) if not p.attached]
-    plain = [p for p in shown if p.kind == "plain" and p.text.strip()] or shown
-    if not plain:
-        return []
+    kept: list[str] = []
+    for shown in inline_texts(text):
+        kept += _unquoted(shown)
+    return kept
+
+
+def _unquoted(text: str) -> list[str]:
     kept: list[str] = []
     quoting = closed = below = greeted = False
-    for line in plain[0].text.split("\n"):
+    for line in text.split("\n"):
         if _ORIGINAL.match(line):
             # unmarked quotes run to the end; where nothing stands above, to the quoted writer's closing or the next greeting
             below = not any(x.strip() for x in kept)
@@ -88,27 +109,49 @@ def own_text(text: str | None) -> list[str]:
             closed = False
             continue
         if closed:
-            # the name and contact lines after a closing; a blank line and a longer line begin new text
-            if line.strip() and len(_WORD.findall(line)) > 6 and not _PERSONAL.match(line) and not _DISCLAIMER.match(line):
+            # the name and contact lines after a closing; a longer line begins new text
+            if line.strip() and len(_WORD.findall(line)) > 6:
                 closed = False
             else:
                 continue
         if _SIGNATURE.match(line) or _CLOSING.match(line):
             closed = True
             continue
-        if _PERSONAL.match(line):
+        if _CONTACT.match(line):
             continue
         kept.append(line)
-    own: list[str] = []
-    inside = False
-    for line in kept:
-        if _DISCLAIMER.match(line):
-            inside = True
-        elif not line.strip():
-            inside = False
-        if not inside:
-            own.append(line)
-    return own
+    return kept
+
+
+_TOKEN = re.compile(r"\d+|[^\W\d_]+")
+
+
+def _tail(lines: list[str]) -> tuple[list[int], list[int]]:
+    """The hashes of the shingles in the last words of the lines (numbers are alike; 0 for shingles of too few lettered words), and the line of each word."""
+    words: list[str] = []
+    owner: list[int] = []
+    for at in range(len(lines) - 1, -1, -1):
+        found = _TOKEN.findall(lines[at].lower())[-(TAIL_WORDS - len(words)) :]
+        words[:0] = ["0" if w[0].isdigit() else w for w in found]
+        owner[:0] = [at] * len(found)
+        if len(words) >= TAIL_WORDS:
+            break
+    digest = xxhash.xxh64_intdigest
+    lettered = [len(w) > 1 for w in words]
+    return [digest(" ".join(words[i : i + SHINGLE])) - (1 << 63) if sum(lettered[i : i + SHINGLE]) >= LEAST_LETTERED else 0 for i in range(len(words) - SHINGLE + 1)], owner
+
+
+def without_boilerplate(lines: list[str], frequent: frozenset[int]) -> list[str]:
+    """The lines without those at the end whose words stand in frequent shingles."""
+    shingles, owner = _tail(lines)
+    covered = [False] * len(owner)
+    for i, shingle in enumerate(shingles):
+        if shingle in frequent:
+            covered[i : i + SHINGLE] = [True] * SHINGLE
+    if not any(covered):
+        return lines
+    words, hits = Counter(owner), Counter(at for at, hit in zip(owner, covered, strict=True) if hit)
+    return [line for at, line in enumerate(lines) if hits[at] < COVERED * words[at] or not words[at]]
 
 
 class LineShape(NamedTuple):
@@ -214,28 +257,39 @@ class LineModel(NamedTuple):
     emit: np.ndarray
 
 
-def fit(symbols: Iterable[list[int]]) -> LineModel:
-    """Counts of a sample's certain labels, with add-one smoothing over the symbol's fields.
+def fit(symbols: list[list[int]], rounds: int = ROUNDS) -> LineModel:
+    """The model of a sample's mails (symbols of their lines).
 
-    Emissions are products of the fields' frequencies; lines in doubt are left
-    out of the emissions, and neighbours of them out of the moves.
+    At first only lines of certain shape are counted; in each round the model labels the
+    lines in doubt and is counted anew with them.  Certain labels never change, so the kinds keep
+    their meaning.
     """
+    certain = [np.array([plain_label(s) for s in line_symbols], np.int8) for line_symbols in symbols]
+    model = _counted(symbols, certain)
+    for _ in range(rounds):
+        guessed = label_lines(symbols, model)
+        model = _counted(symbols, [np.where(sure >= 0, sure, guess) for sure, guess in zip(certain, guessed, strict=True)])
+    return model
+
+
+def _counted(symbols: list[list[int]], labels: list[np.ndarray]) -> LineModel:
+    """Frequencies with smoothing: emissions are products of the fields' frequencies; lines without a label (-1) are left out, neighbours of them too for the moves."""
     sizes = [n for _, n in _FIELDS]
     tables = [np.full((4, n), 0.5) for n in sizes]
     move = np.full((4, 4), 1.0) + np.eye(4) * 20
     start = np.ones(4)
-    for line_symbols in symbols:
-        labels = [plain_label(s) for s in line_symbols]
-        for i, (label, symbol) in enumerate(zip(labels, line_symbols, strict=True)):
-            if label < 0:
-                continue
-            for values, size in zip(reversed(tables), reversed(sizes), strict=True):
-                values[label, symbol % size] += 1
-                symbol //= size
-            if i == 0:
-                start[label] += 1
-            elif labels[i - 1] >= 0:
-                move[labels[i - 1], label] += 1
+    for line_symbols, own in zip(symbols, labels, strict=True):
+        if not len(own):
+            continue
+        known = own >= 0
+        rest, kinds = np.array(line_symbols)[known], own[known]
+        for values, size in zip(reversed(tables), reversed(sizes), strict=True):
+            np.add.at(values, (kinds, rest % size), 1)
+            rest = rest // size
+        if known[0]:
+            start[own[0]] += 1
+        both = known[1:] & known[:-1]
+        np.add.at(move, (own[:-1][both], own[1:][both]), 1)
     emit = np.zeros((4, 1))
     for values in tables:
         share = np.log(values / values.sum(1, keepdims=True))
@@ -294,18 +348,40 @@ _SCHEMA = (
 )
 
 
-def fit_on(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS) -> LineModel:
-    """The model, fitted on the ``sample_docs`` mails of lowest id hash (all mails if there are fewer)."""
+def own_texts(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, ``lines`` of the own text that are not blank, and ``tail``, the shingles at its end; one pass over all mails."""
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                lines = [[x for x in own_lines(t) if x.strip()] for t in batch.column(1).to_pylist()]
+                tails = [sorted(set(_tail(x)[0]) - {0}) for x in lines]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.list_(pa.string())), pa.array(tails, pa.list_(pa.int64()))], names=["doc_id", "lines", "tail"])
+
+    kind = documents.schema[doc_id].dataType.simpleString()
+    return spread(documents.select(doc_id, text)).mapInArrow(read, f"doc_id {kind}, lines array<string>, tail array<bigint>")
+
+
+def frequent_shingles(own: DataFrame, share: float = BOILERPLATE_SHARE, least: int = BOILERPLATE_MAILS) -> frozenset[int]:
+    """The shingles at the end of at least a share of all mails; TAIL_WORDS / share of them at most."""
+    needed = max(least, share * own.count())
+    counted = own.select(F.explode("tail").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    return frozenset(r[0] for r in counted.where(F.col("n") >= needed).select("shingle").collect())
+
+
+def fit_on(own: DataFrame, frequent: frozenset[int], sample_docs: int = SAMPLE_DOCS) -> LineModel:
+    """The model, fitted on the ``sample_docs`` mails of lowest id hash (all mails if there are fewer); ``own`` comes from :func:`own_texts`."""
 
     def shapes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [[line_shape(x).symbol for x in own_text(t) if x.strip()] for t in batch.column(0).to_pylist()]
+            rows = [[line_shape(x).symbol for x in without_boilerplate(lines, frequent)] for lines in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], names=["symbols"])
 
-    chosen = documents.where(F.col(text).isNotNull()).select(text, F.xxhash64(doc_id).alias("__h"))
+    hashed = own.select("lines", F.xxhash64("doc_id").alias("__h"))
     # the last hash of the sample is found from hashes alone, so texts beyond it are never sorted
-    last = chosen.select("__h").orderBy("__h").limit(sample_docs).agg(F.max("__h")).scalar()
-    chosen = chosen.where(F.col("__h") <= last).orderBy("__h").limit(sample_docs).select(text)
+    last = hashed.select("__h").orderBy("__h").limit(sample_docs).agg(F.max("__h")).scalar()
+    chosen = hashed.where(F.col("__h") <= last).orderBy("__h").limit(sample_docs).select("lines")
     return fit([row[0] for row in spread(chosen).mapInArrow(shapes, "symbols array<int>").collect()])
 
 
@@ -315,9 +391,11 @@ def quality(documents: DataFrame, model: LineModel | None = None, doc_id: str =
     ``kind`` is decided by :func:`weigh`.  A mail without own text has zero counts, null ratios and
     kind ``prose``.  All texts are read in full.
     """
+    own = cut(own_texts(documents, doc_id, text))
+    frequent = frequent_shingles(own)
     if model is None:
-        model = fit_on(documents, doc_id, text)
-    shared = documents.sparkSession.sparkContext.broadcast(tuple(model))  # plain arrays: workers need no class to read them
+        model = fit_on(own, frequent)
+    shared = documents.sparkSession.sparkContext.broadcast((tuple(model), frequent))  # plain arrays: workers need no class to read them
     names = ["doc_id", *re.findall(r", (\w+) ", _SCHEMA)]
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,7 +406,7 @@ def quality(documents: DataFrame, model: LineModel | None = None, doc_id: str =
                 symbols: list[list[int]] = []
                 sizes: list[list[int]] = []
                 for said in batch.column(1).to_pylist():
-                    lines = [x for x in own_text(said) if x.strip()]
+                    lines = without_boilerplate(said, shared.value[1])
                     shapes = [line_shape(x) for x in lines]
                     symbols.append([s.symbol for s in shapes])
                     words, letters = sum(s.words for s in shapes), sum(s.letters for s in shapes)
@@ -341,7 +419,7 @@ def quality(documents: DataFrame, model: LineModel | None = None, doc_id: str =
                         sum(s.common for s in shapes) / words if words else None, len(lines),
                     ))
                 out: list[tuple] = []
-                for row, labels, weights in zip(rows, label_lines(symbols, LineModel(*shared.value)), sizes, strict=True):
+                for row, labels, weights in zip(rows, label_lines(symbols, LineModel(*shared.value[0])), sizes, strict=True):
                     shares, kind = weigh(labels, weights, mainly)
                     out.append((*row, *shares, kind))
                 columns = [pa.array(c) for c in zip(*out, strict=True)]
@@ -349,4 +427,4 @@ def quality(documents: DataFrame, model: LineModel | None = None, doc_id: str =
                 yield pa.RecordBatch.from_arrays([batch.column(0), *[c.cast(t) for c, t in zip(columns, types, strict=True)]], names=names)
 
     kind = documents.schema[doc_id].dataType.simpleString()
-    return spread(documents.select(doc_id, text)).mapInArrow(measure, _SCHEMA.format(kind=kind)).withColumnRenamed("doc_id", doc_id)
+    return own.select("doc_id", "lines").mapInArrow(measure, _SCHEMA.format(kind=kind)).withColumnRenamed("doc_id", doc_id)

@@ -10,8 +10,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from queuescope.llm.leak import RUN, leaks, words_of
-from queuescope.llm.mailtext import html_to_text, parts, without_quote_marks
-from queuescope.llm.quality import KINDS, fit, label_lines, line_shape, own_text, quality
+from queuescope.llm.mailtext import html_to_text, parts, undo_base64, without_quote_marks
+from queuescope.llm.quality import BOILERPLATE_SHARE, KINDS, TAIL_WORDS, fit, frequent_shingles, label_lines, line_shape, own_lines, own_texts, quality, without_boilerplate
 
 HEAD = "From: A B <a@b.invalid>\nSubject: Hello\nMIME-Version: 1.0\n"
 
@@ -110,13 +110,49 @@ HEX = "\n".join(f"{i * 16:08x}  " + " ".join(f"{(i * 31 + j * 7) % 256:02x}" for
 RANDOM = "\n".join("xkq vbrtz qpdfg hjklm zxcvb wrtpq" for _ in range(6))
 
 
-def test_own_text_leaves_the_rest_out():
-    body = PROSE + "\nRegards\nAnn Bee\nTel +1 555-0100 / 1 Road\n\nThis message and anything attached to it is meant only for the person named\nabove.\n\nJoe Doe wrote:\n\n> quoted text here\n> - item\n"
-    assert [x for x in own_text(mail(body)) if x.strip()] == PROSE.strip().split("\n")
-    assert [x for x in own_text(mail("> quoted\n\n" + PROSE + "-- \nAnn\n")) if x.strip()] == PROSE.strip().split("\n")
-    assert [x for x in own_text(mail("-----Original Message-----\nFrom: X\n\nHello all,\n\nold text\n\nRegards\nX Y\n\n" + PROSE)) if x.strip()] == PROSE.strip().split("\n")
-    assert [x for x in own_text(mail("| a | b |\n|---|---|\n| 1 | 2 |")) if x.strip()] == ["| a | b |", "|---|---|", "| 1 | 2 |"]
-    assert own_text(None) == own_text("") == []
+def test_own_lines_leave_the_rest_out():
+    body = PROSE + "\nRegards\nAnn Bee\nTel +1 555-0100 / 1 Road\n\nJoe Doe wrote:\n\n> quoted text here\n> - item\n"
+    prose = PROSE.strip().split("\n")
+    assert [x for x in own_lines(mail(body)) if x.strip()] == prose
+    assert [x for x in own_lines(mail("> quoted\n\n" + PROSE + "-- \nAnn\n")) if x.strip()] == prose
+    assert [x for x in own_lines(mail("-----Original Message-----\nFrom: X\n\nHello all,\n\nold text\n\nRegards\nX Y\n\n" + PROSE)) if x.strip()] == prose
+    assert [x for x in own_lines(mail("| a | b |\n|---|---|\n| 1 | 2 |")) if x.strip()] == ["| a | b |", "|---|---|", "| 1 | 2 |"]
+    assert own_lines(None) == own_lines("") == []
+
+
+def test_own_lines_are_of_all_inline_parts():
+    two = multipart(("text/plain", PROSE), ('text/plain; name="x.txt"', "attached"), ("text/plain", LIST), ("message/rfc822", f"{HEAD}\nforwarded"))
+    assert [x for x in own_lines(two) if x.strip()] == [*PROSE.strip().split("\n"), *LIST.split("\n")]
+    either = multipart(("text/html", "<p>marked</p>"), ("text/plain", "plain"), kind="alternative")
+    assert [x for x in own_lines(either) if x.strip()] == ["plain"]
+    assert [x.strip() for x in own_lines(multipart(("text/html", "<p>marked</p>"), kind="alternative")) if x.strip()] == ["marked"]
+
+
+def test_base64_is_read_run_by_run():
+    first, second = (base64.b64encode(t.encode()).decode() for t in ("one sentence here.\n", "and a second run of words.\n"))
+    assert undo_base64(f"{first}\n{second}\n") == "one sentence here.\nand a second run of words.\n"
+    assert undo_base64(f"{first}\n\n_______\nA list of the park, for all\nUnsubscribe\n").split("\n") == ["one sentence here.", "", "_______", "A list of the park, for all", "Unsubscribe", ""]
+    assert undo_base64(f"{first[:9]}\n{first[9:]}") == "one sentence here.\n"
+    assert undo_base64("no encoding at all") == "no encoding at all\n"
+
+
+def test_boilerplate_is_what_many_mails_end_with(spark):
+    rng = random.Random(4)
+    notice = "Whoever finds this letter on the beach is kindly asked to bring it back to the lighthouse before the tide."
+    rows = []
+    for i in range(60):
+        lines = [" ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(9)) + "." for _ in range(2)]
+        words, width = notice.split(), rng.choice([4, 7, 30])
+        wrapped = [" ".join(words[k : k + width]) for k in range(0, len(words), width)]
+        rows.append((i, mail("\n".join([*lines, "", *(wrapped if i % 2 else []), f"Badge {i * 37} of the north gate, issued on {i}/7/2020"]))))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    own = own_texts(frame).cache()
+    frequent = frequent_shingles(own)
+    assert 0 < len(frequent) <= TAIL_WORDS / BOILERPLATE_SHARE
+    for r in own.collect():
+        assert without_boilerplate(r["lines"], frequent) == r["lines"][:2]
+    assert frequent_shingles(own.limit(9)) == frozenset()  # too few mails to tell
+    assert {r["n_lines"] for r in quality(frame).collect()} == {2}
 
 
 def test_kinds(spark):
