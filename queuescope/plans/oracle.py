@@ -15,6 +15,17 @@ SQL: dict[str, str] = {
   SELECT *, count(*) OVER (PARTITION BY source, run) AS len FROM runs
 ), share AS (SELECT source, sum(CASE WHEN has THEN 1 - starts ELSE 0 END) * 1.0 / nullif(count(*) - 1, 0) AS eq FROM chg GROUP BY source)
 SELECT l.ingest_seq FROM lens l LEFT JOIN med USING (source) LEFT JOIN share USING (source)
+WHERE NOT ok OR (n >= 20 AND (m > 3 * med + 30 OR (kind = 'POSTED' AND med >= 40 AND m < med / 10))) OR (len >= 10 AND coalesce(eq, 0) <= 0.8)""",
+    "p1_spikes": f"""WITH {q.READINGS}, pairs AS ({q.PAIRS}), base AS (
+  SELECT *, CASE WHEN kind = 'PRIORITY' THEN m BETWEEN -100 AND 2000 ELSE m BETWEEN 0 AND 1000 END AS ok FROM readings
+  WHERE m IS NOT NULL AND NOT (kind = 'PRIORITY' AND m = 8888) AND ingest_seq NOT IN (SELECT ingest_seq_b FROM pairs)
+), med AS (SELECT source, median(m) AS med, count(*) AS n FROM base WHERE ok GROUP BY source), chg AS (
+  SELECT *, CASE WHEN lag(m) OVER w = m THEN 0 ELSE 1 END AS starts, lag(m) OVER w IS NOT NULL AS has FROM base WINDOW w AS (PARTITION BY source ORDER BY us, ingest_seq)
+), runs AS (SELECT *, sum(starts) OVER (PARTITION BY source ORDER BY us, ingest_seq) AS run FROM chg), lens AS (
+  SELECT *, count(*) OVER (PARTITION BY source, run) AS len FROM runs
+), share AS (SELECT source, sum(CASE WHEN has THEN 1 - starts ELSE 0 END) * 1.0 / nullif(count(*) - 1, 0) AS eq FROM chg GROUP BY source)
+SELECT l.ingest_seq, l.source, l.m AS minutes, NOT ok AS impossible, coalesce(ok AND n >= 20 AND (m > 3 * med + 30 OR (kind = 'POSTED' AND med >= 40 AND m < med / 10)), FALSE) AS disproportionate,
+  len >= 10 AND coalesce(eq, 0) <= 0.8 AS stuck, CASE WHEN len >= 10 AND coalesce(eq, 0) <= 0.8 THEN len ELSE 0 END AS run_length FROM lens l LEFT JOIN med USING (source) LEFT JOIN share USING (source)
 WHERE NOT ok OR (n >= 20 AND (m > 3 * med + 30 OR (kind = 'POSTED' AND med >= 40 AND m < med / 10))) OR (len >= 10 AND coalesce(eq, 0) <= 0.8)""",
     "p2_found": f"""WITH {q.OBSERVED}, {q.HOURS}, both_ AS (SELECT * FROM seen UNION ALL SELECT * FROM opened)
 SELECT field_name, row_id, us AS epoch_us FROM both_ WHERE us IS NOT NULL AND NOT {q.EXACT}""",
@@ -63,5 +74,16 @@ SELECT hours_id, CAST(coalesce(lead(hours_id) OVER (PARTITION BY park, park_date
   WHERE u.version_type IN ('official', 'final', 'predicted', 'historical')
 )
 SELECT ingest_seq, hours_id FROM ranked WHERE rn = 1""",
+    "p6_known_hours": f"""WITH {q.READINGS}, {q.USABLE}, parks AS (
+  SELECT ingest_seq, us, CASE regexp_extract(entity, '^[^0-9]*') WHEN 'USH' THEN 'UH' ELSE regexp_extract(entity, '^[^0-9]*') END AS park FROM readings
+), dated AS (
+  SELECT *, CAST(CAST((make_timestamp(us) AT TIME ZONE 'UTC') AT TIME ZONE {q.PARK_ZONE.format(p="park")} - INTERVAL 6 HOUR AS DATE) AS VARCHAR) AS park_date FROM parks
+), ranked AS (
+  SELECT d.ingest_seq, u.*, row_number() OVER (PARTITION BY d.ingest_seq ORDER BY CASE u.version_type WHEN 'official' THEN 1 WHEN 'final' THEN 2 WHEN 'predicted' THEN 3 ELSE 4 END,
+    u.valid_from DESC, u.created_at DESC, u.hours_id) AS rn
+  FROM dated d JOIN usable u ON u.park = d.park AND u.park_date = d.park_date AND epoch_us(u.valid_from) <= d.us AND epoch_us(u.created_at) <= d.us
+  WHERE u.version_type IN ('official', 'final', 'predicted', 'historical')
+)
+SELECT ingest_seq, park, park_date, hours_id, version_type, open_us AS opening_us, close_us AS closing_us, em AS emh_morning, ev AS emh_evening FROM ranked WHERE rn = 1""",
     **reference.SQL,
 }

@@ -28,7 +28,8 @@ def _flags(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_spikes(spark: SparkSession, d: str) -> DataFrame:
     """Every implausible reading with its reasons."""
-    return _flags(spark, d).where(F.col("impossible") | F.col("disproportionate") | F.col("stuck"))
+    flagged = _flags(spark, d).where(F.col("impossible") | F.col("disproportionate") | F.col("stuck"))
+    return flagged.select("ingest_seq", "source", "minutes", "impossible", "disproportionate", "stuck", F.col("run_length").cast("bigint").alias("run_length"))
 
 
 def p1_chart(spark: SparkSession, d: str) -> DataFrame:
@@ -88,7 +89,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_known_hours(spark: SparkSession, d: str) -> DataFrame:
     """Every reading with the park hours valid and known at its instant."""
-    return hours_as_known(typed_readings(table(spark, d, "dedupe_keys"), ("ingest_seq", "park", "park_day", "observed_us")), usable_hours(_hours(spark, d)))
+    known = hours_as_known(typed_readings(table(spark, d, "dedupe_keys"), ("ingest_seq", "park", "park_day", "observed_us")), usable_hours(_hours(spark, d)))
+    return known.select("ingest_seq", "park", "park_date", "hours_id", F.lower(F.trim("version_type")).alias("version_type"), "opening_us", "closing_us", "emh_morning", "emh_evening")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
