@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queuescope.llm.chunks import ChunkStore, repeated
@@ -116,14 +117,45 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_leaks(spark, d).select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
 
 
+def p9_planted(spark: SparkSession, d: str) -> DataFrame:
+    """Mails made from every test item with ten passages of 8 to 17 words, and what they give away."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), 1)
+    items = table(spark, d, "eval_items")
+    made = items.select("item_id", words.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(9))).alias("v"))
+    passage = F.array_join(F.slice("w", F.col("v") + 1, F.col("v") + 8), "\n> ")
+    mails = made.select((F.col("item_id") * 10 + F.col("v")).alias("doc_id"), F.concat(F.lit("Subject: x\n\nWe said\n> "), passage, F.lit("\n\nand left")).alias("text"))
+    return leaks(mails, items).select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+
+
 def p10_quality(spark: SparkSession, d: str) -> DataFrame:
     """Figures on every mail's own text, its label shares and its kind."""
     return quality(table(spark, d, "documents"))
 
 
+def p10_planted(spark: SparkSession, d: str) -> DataFrame:
+    """The kinds of mails made up for every supplier: prose, a list, a table or junk in turn."""
+    letters = F.translate(F.md5(F.col("s_suppkey").cast("string")), "0123456789abcdef", "aeiouaeiobdlmnrs")
+    rows = table(spark, d, "supplier").select(F.col("s_suppkey").alias("doc_id"), letters.alias("m"))
+    k = F.sequence(F.lit(0), F.lit(7))
+
+    def word(i: Column, start: int, n: int) -> Column:
+        return F.substring("m", i * 3 + start, F.lit(n))
+
+    def lines(line: Callable[[Column], Column]) -> Column:
+        return F.array_join(F.transform(k, line), "\n")
+
+    prose = lines(lambda i: F.concat(F.lit("The "), word(i, 1, 5), F.lit(" of the "), word(i, 2, 4), F.lit(" was not there when "), word(i, 3, 5), F.lit(" came, and they said it would be late.")))
+    listed = lines(lambda i: F.concat(F.lit("- "), word(i, 1, 5), F.lit(" "), word(i, 4, 4)))
+    rowed = lines(lambda i: F.concat(word(i, 1, 6), F.lit("\t"), (i * 37 + F.col("doc_id")).cast("string"), F.lit("\t"), i.cast("string"), F.lit(".5")))
+    junk = lines(lambda i: F.concat(F.repeat(F.lit("%&*@#!~"), 6), word(i, 1, 3)))
+    kind = F.pmod(F.col("doc_id"), F.lit(4))
+    body = F.when(kind == 0, prose).when(kind == 1, listed).when(kind == 2, rowed).otherwise(junk)
+    return quality(rows.select("doc_id", F.concat(F.lit("Subject: x\n\n"), body).alias("text"))).select("doc_id", "kind")
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """Mails that are mainly a list, a table or junk."""
     return p10_quality(spark, d).where(F.col("kind") != "prose").select("doc_id", "kind")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_repeats, p7_percentiles, p7_by_build, p7_within_bound, p7_large_groups, p8_found, p8_containers, p8_packed, p9_found, p9_leaks, p10_found, p10_quality)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_repeats, p7_percentiles, p7_by_build, p7_within_bound, p7_large_groups, p8_found, p8_containers, p8_packed, p9_found, p9_leaks, p9_planted, p10_found, p10_quality, p10_planted)}
