@@ -65,8 +65,7 @@ def q_hours_scd2(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH g AS (SELECT CAST(d AS DATE) AS d, (dayofyear(d) // 9)::VARCHAR AS grp FROM (SELECT unnest(generate_series(DATE '1994-01-01', DATE '2003-12-31', INTERVAL 1 DAY)) AS d)),
-don AS (SELECT DISTINCT ['mk', 'ep', 'dl', 'tdl'][1 + o_custkey % 4] AS park_code, g.d, g.grp FROM orders JOIN g ON g.d = CAST(o_orderdate AS DATE) WHERE o_orderkey % 50 = 0),
-tgt AS (SELECT DISTINCT ['mk', 'ep', 'dl', 'tdl'][1 + o_custkey % 4] AS park_code, g.d, g.grp FROM orders JOIN g ON g.d = CAST(o_orderdate AS DATE) WHERE o_orderkey % 50 = 1),
+don AS (SELECT DISTINCT ['mk', 'ep', 'dl', 'tdl'][1 + o_custkey % 4] AS park_code, g.d, g.grp FROM orders JOIN g ON g.d = CAST(o_orderdate AS DATE)), tgt AS (SELECT * FROM don),
 s AS (SELECT t.park_code, t.d, t.grp, x.d AS dd, CASE WHEN x.grp = t.grp THEN 1.0 ELSE 0.7 END / (1.0 + (t.d - x.d) / 365.0) AS conf FROM tgt t LEFT JOIN don x ON x.park_code = t.park_code AND x.d < t.d),
 r AS (SELECT *, row_number() OVER (PARTITION BY park_code, d ORDER BY conf DESC, dd) AS rn FROM s)
 SELECT park_code, CAST(d AS VARCHAR) AS park_date, CAST(dd AS VARCHAR) AS donor_date, round(conf, 9) AS confidence FROM r WHERE rn = 1""")

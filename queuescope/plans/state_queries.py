@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from queuescope.functions import clean, names, parse
 from queuescope.functions.codes import code, park_of
 from queuescope.operators import dedupe, flat_hours, history, reports, selection
 from queuescope.operators.aggregates import exact_medians
+from queuescope.operators.ordered import with_ordinal
 from queuescope.plans.facts import FACT, facts, query
 from queuescope.session import shared_folder, table
 from queuescope.sources import files, sinks
@@ -245,14 +245,10 @@ def q_training_order(spark: SparkSession, d: str) -> DataFrame:
     """The order in which entities are trained, and their place by latest reading."""
     index = dedupe.entity_index(facts(spark, d))
     ordered = selection.training_order(index, ("mk", "ep", "hs"), park_of(F.col("entity_code")))
-    places = _numbered(ordered.select("entity_code", "priority"), "place")
-    return places.join(_numbered(dedupe.latest_first(index).select("entity_code"), "recency"), "entity_code")
-
-
-def _numbered(ordered: DataFrame, name: str) -> DataFrame:
-    """The rows of a sorted table (one row per entity) with their places."""
-    rows = [(*r, i) for i, r in enumerate(ordered.toLocalIterator(), 1)]
-    return ordered.sparkSession.createDataFrame(rows, ordered.schema.add(name, LongType()))
+    places = with_ordinal(ordered.select("entity_code", "priority", "actual_count"), [], [F.col("priority"), F.col("actual_count").desc(), F.col("entity_code")], F.col("priority"), "place")
+    day = -F.floor(F.col("latest_observed_us") / F.lit(86_400_000_000))
+    recency = with_ordinal(dedupe.latest_first(index).select("entity_code", "latest_observed_us"), [], [F.col("latest_observed_us").desc(), F.col("entity_code")], day, "recency")
+    return places.select("entity_code", "priority", "place").join(recency.select("entity_code", "recency"), "entity_code")
 
 
 @query(f"WITH {FACT}, {_INDEX} SELECT column_name, count(*) AS entities, count(*) FILTER (v > 0) AS with_any, CAST(sum(v) AS BIGINT) AS total, round(avg(v), 6) AS mean FROM (UNPIVOT idx ON actual_count, posted_count, priority_count INTO NAME column_name VALUE v) GROUP BY 1")
