@@ -6,7 +6,6 @@ import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
