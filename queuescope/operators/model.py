@@ -40,7 +40,7 @@ def fit_boosted(training: DataFrame, features: Sequence[str], target: str, *, sp
     assembler = VectorAssembler(inputCols=list(features), outputCol="__features", handleInvalid="keep")
     rows = assembler.transform(training.where(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double")))
     train, held = rows.where(F.col(split) == "train"), rows.where(F.col(split) == "validation")
-    watched, size = not held.isEmpty(), min(rounds, 4 * patience)
+    watched, size = not held.isEmpty(), min(rounds, 2 * patience)
     while True:
         boosted = GBTRegressor(
             featuresCol="__features", labelCol=target, lossType="absolute", maxDepth=depth, stepSize=step, maxIter=size if watched else rounds,
@@ -51,7 +51,7 @@ def fit_boosted(training: DataFrame, features: Sequence[str], target: str, *, sp
         best, stopped = best_round(boosted.evaluateEachIteration(held, "absolute"), patience)
         if stopped or size == rounds:
             return PipelineModel([assembler, _first_trees(boosted, best + 1)])
-        size = min(rounds, 4 * size)
+        size = min(rounds, 2 * size)
 
 
 def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
