@@ -70,20 +70,21 @@ def fallback_lookup(wanted: DataFrame, aggregates: DataFrame, value: str = "post
 
     ``aggregates`` is the table of finest groups; every coarser level is aggregated
     from it and joined by its own keys.  Rows with null keys fall through to the
-    levels that do not use them.
+    levels that do not use them.  The tables of entities grow with the readings and pack
+    well in files, so they are merged, not broadcast by the size of the files.
     """
     base = cut(aggregates.select("entity_code", "dategroupid", "hour", value, F.substring("entity_code", 1, prefix_length).alias("prefix")))
     # the levels are joined to the different keys only; the wanted rows themselves are joined once
     asked = wanted.select("entity_code", "dategroupid", "hour").distinct().withColumn("prefix", F.substring("entity_code", 1, prefix_length))
     for i, keys in enumerate(LEVELS, 1):
         level = base.groupBy(*keys).agg(F.median(value).alias(f"__v{i}"))
-        asked = asked.join(level, list(keys), "left")
+        asked = asked.join(level.hint("merge") if "entity_code" in keys else level, list(keys), "left")
     values = [F.col(f"__v{i}") for i in range(1, len(LEVELS) + 1)]
     chosen = F
     for i, v in enumerate(values, 1):
         chosen = chosen.when(v.isNotNull(), i)
     found = asked.select("entity_code", "dategroupid", "hour", F.coalesce(*values).alias("predicted"), chosen.alias("level"))
-    return null_safe_join(wanted, found, ["entity_code", "dategroupid", "hour"])
+    return null_safe_join(wanted, found.hint("merge"), ["entity_code", "dategroupid", "hour"])
 
 
 def exact_medians(frame: DataFrame, keys: Sequence[str], value: str, out: str = "median", accuracy: int = 10_000) -> DataFrame:
@@ -91,15 +92,18 @@ def exact_medians(frame: DataFrame, keys: Sequence[str], value: str, out: str =
 
     A sketch of bounded size brackets the median's rank first; values below the
     bracket are only counted, and the exact answer is read from the few values inside.
-    So no task holds a group's values, as an exact percentile would.
+    So no task holds a group's values, as an exact percentile would.  Every row has a bracket,
+    but they are joined as a left join that stays one, so that Catalyst can send the brackets to
+    the rows, never the rows by way of the driver.
     """
     rows = frame.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     slack = 2.0 / accuracy
     bracket = F.percentile_approx("__v", F.array(F.lit(0.5 - slack), F.lit(0.5 + slack)), accuracy)
     brackets = rows.groupBy(*keys).agg(bracket.alias("__b"), F.count(F.lit(1)).alias("__n")).select(*keys, F.col("__b")[0].alias("__low"), F.col("__b")[1].alias("__high"), "__n")
-    placed = null_safe_join(rows, brackets, keys, "inner") if keys else rows.withColumn("__b", brackets.select(F.struct("__low", "__high", "__n")).scalar()).select("__v", "__b.*")
+    placed = null_safe_join(rows, brackets, keys) if keys else rows.withColumn("__b", brackets.select(F.struct("__low", "__high", "__n")).scalar()).select("__v", "__b.*")
     below = F.when(F.col("__v") < F.col("__low"), F.lit(None).cast("double")).otherwise(F.col("__v"))
-    counted = placed.where(F.col("__v") <= F.col("__high")).groupBy(*keys, "__n", below.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    # a plain comparison rejects nulls, which would turn the left join into an inner one
+    counted = placed.where(F.col("__v") <= F.coalesce("__high", F.lit(float("inf")))).groupBy(*keys, "__n", below.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     up = Window.partitionBy(*keys).orderBy(F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     reached = counted.withColumn("__to", F.sum("__c").over(up))
     first, second = F.floor((F.col("__n") - 1) / 2) + 1, F.floor(F.col("__n") / 2) + 1

@@ -81,7 +81,7 @@ def posted_accuracy(observed: DataFrame, aggregates: DataFrame, today: str) -> D
     rows = fallback_lookup(observed.where(F.col("wait_time_minutes").isNotNull()), aggregates).where(F.col("predicted").isNotNull())
     error = F.abs(F.col("predicted") - F.col("wait_time_minutes"))
     own = aggregates.select("entity_code", "dategroupid", "hour", "avg_recency_weight", "posted_count")
-    return rows.join(own, ["entity_code", "dategroupid", "hour"], "left").withColumns({
+    return rows.join(own.hint("merge"), ["entity_code", "dategroupid", "hour"], "left").withColumns({
         "error": error,
         "pct_error": F.when(F.col("wait_time_minutes") > 0, error / F.col("wait_time_minutes") * 100),
         "days_ago": F.datediff(F.lit(today).cast("date"), "park_date"),
