@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queuescope.operators.asof import nearest
+from queuescope.operators.boosting import best_round as best_round
+from queuescope.operators.boosting import boosted
 from queuescope.operators.features import impute
 from queuescope.sources.sinks import read_json, write_json
 
@@ -27,52 +29,21 @@ def fit_boosted(training: DataFrame, features: Sequence[str], target: str, *, sp
     """A pipeline of gradient-boosted trees with absolute error, cut after the best round on the rows whose ``split`` is validation.
 
     Rounds end once ``patience`` of them in a row bring nothing better there; without
-    validation rows all are kept.  Spark's own early stopping ends at the first round
-    of small gain, so trees are fitted in growing numbers (equal seeds give equal first
-    trees) and the errors of all rounds are read at once.  One model for all entities
-    (their encoded code is a feature), fitted by distributed tree induction: no
-    entity's rows are ever on one machine.
+    validation rows all are kept.  One model for all entities (their encoded code is a feature), fitted by
+    :func:`queuescope.operators.boosting.boosted`: rows stay spread over the tasks, no entity's rows are ever on
+    one machine unless all different rows are few.
     """
     from pyspark.ml import PipelineModel
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
     assembler = VectorAssembler(inputCols=list(features), outputCol="__features", handleInvalid="keep")
-    rows = assembler.transform(training.where(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double")))
-    train, held = rows.where(F.col(split) == "train"), rows.where(F.col(split) == "validation")
-    watched, size = not held.isEmpty(), min(rounds, 2 * patience)
-    while True:
-        boosted = GBTRegressor(
-            featuresCol="__features", labelCol=target, lossType="absolute", maxDepth=depth, stepSize=step, maxIter=size if watched else rounds,
-            subsamplingRate=subsample, minInstancesPerNode=least_rows, seed=seed,
-        ).fit(train)
-        if not watched:
-            return PipelineModel([assembler, boosted])
-        best, stopped = best_round(boosted.evaluateEachIteration(held, "absolute"), patience)
-        if stopped or size == rounds:
-            return PipelineModel([assembler, _first_trees(boosted, best + 1)])
-        size = min(rounds, 2 * size)
-
-
-def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
-    """The round of least error before ``patience`` rounds in a row bring nothing better, and whether they do."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            return best, True
-    return best, False
-
-
-def _first_trees(boosted: Any, n: int) -> Any:
-    """The boosted model of the first ``n`` trees only."""
-    from pyspark import SparkContext
-    from pyspark.ml.regression import GBTRegressionModel
-
-    java, jvm = boosted._java_obj, SparkContext._active_spark_context._jvm
-    kept = jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), java.trees()[:n], java.treeWeights()[:n], java.numFeatures())
-    return GBTRegressionModel(java.copyValues(kept, java.extractParamMap()))
+    rows = training.where(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double"))
+    estimator = GBTRegressor(
+        featuresCol="__features", labelCol=target, lossType="absolute", maxDepth=depth, stepSize=step, maxIter=rounds,
+        subsamplingRate=subsample, minInstancesPerNode=least_rows, seed=seed,
+    )
+    return PipelineModel([assembler, boosted(rows, features, target, split, estimator, patience)])
 
 
 def fit_pair(training: DataFrame, features: Sequence[str], target: str, posted: str = "posted", kind: str = "wait_time_type", **options: Any) -> dict[str, Any]:
