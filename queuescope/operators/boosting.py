@@ -17,7 +17,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queuescope.session import cut, shared_folder
@@ -113,14 +113,14 @@ class _Targets:
         self.first, self.end = np.searchsorted(cell, np.arange(n_cells)), np.searchsorted(cell, np.arange(n_cells), "right")
         self.counts, self.sums = np.append(0, np.cumsum(count)), np.append(0.0, np.cumsum(count * target))
 
-    def parted(self, fitted: np.ndarray, running: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of counts or sums, in each cell the part of targets below what is fitted, and the rest."""
+    def parted(self, fitted: np.ndarray, *running: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of counts and sums, in each cell the part of targets below what is fitted, and the rest."""
         at = np.searchsorted(self.keys, self.base + np.searchsorted(self.values, fitted))
-        return running[at] - running[self.first], running[self.end] - running[at]
+        return [(x[at] - x[self.first], x[self.end] - x[at]) for x in running]
 
     def error(self, fitted: np.ndarray) -> float:
         """The sum of absolute errors."""
-        (n_below, n_rest), (below, rest) = self.parted(fitted, self.counts), self.parted(fitted, self.sums)
+        (n_below, n_rest), (below, rest) = self.parted(fitted, self.counts, self.sums)
         return float(((n_below - n_rest) * fitted - below + rest).sum())
 
 
@@ -193,7 +193,7 @@ def _boost(cells: _Cells, total: Callable[[np.ndarray], np.ndarray], partition:
             weight = draw(train.count, subsample)
             w, s, q = (np.bincount(train.cell, weight * x, n_cells) for x in (1.0, train.target, train.target**2))
         else:
-            below, rest = (draw(n, subsample) for n in train.parted(cells.fitted, train.counts))
+            below, rest = (draw(n, subsample) for n in train.parted(cells.fitted, train.counts)[0])
             w, s = (rest + below).astype(float), (rest - below).astype(float)
             q = w
         nodes, answer = _tree(cells, total, w, s, q, depth, least_rows)
@@ -226,16 +226,21 @@ def _saved(trees: list[_Nodes], first: int, bounds: list[list[float]]) -> pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(tree, pa.int32()), pa.StructArray.from_arrays(data.values(), data.keys())], names=["treeID", "nodeData"])
 
 
-def boosted(rows: DataFrame, features: Sequence[str], target: str, split: str, estimator: Any, patience: int) -> Any:
-    """The model of a ``GBTRegressor``'s parameters, fitted to the rows whose ``split`` is train and cut after the best round on those of validation."""
-    train = rows.where(F.col(split) == "train")
-    bounds = [_thresholds(train, f) for f in features]
-    nan = F.lit(float("nan"))
+def bin_of(feature: str, limits: list[float]) -> Column:
+    """The number of a feature's bin, from 0; missing values are in the last one."""
+    x = F.coalesce(F.col(feature).cast("double"), F.lit(float("nan")))
+    return F.size(F.filter(F.array(*map(F.lit, limits)), lambda t: t < x)) if limits else F.lit(0)
+
 
-    def bin_of(feature: str, limits: list[float]) -> Any:
-        x = F.coalesce(F.col(feature).cast("double"), nan)
-        return F.size(F.filter(F.array(*map(F.lit, limits)), lambda t: t < x)) if limits else F.lit(0)
+def end_of_bin(feature: str, limits: list[float]) -> Column:
+    """The upper bound of a feature's bin, infinity for the last one: trees give it the same answer as the value itself."""
+    return F.get(F.array(*map(F.lit, [*limits, float("inf")])), bin_of(feature, limits))
 
+
+def boosted(rows: DataFrame, features: Sequence[str], target: str, split: str, estimator: Any, patience: int) -> tuple[Any, list[list[float]]]:
+    """The model of a ``GBTRegressor``'s parameters, fitted to the rows whose ``split`` is train and cut after the best round on those of validation; and the upper bounds of each feature's bins but the last."""
+    train = rows.where(F.col(split) == "train")
+    bounds = [_thresholds(train, f) for f in features]
     names = [f"b{i}" for i in range(len(features))]
     binned = rows.where(F.col(split).isin("train", "validation")).select(
         *[bin_of(f, limits).cast("int").alias(b) for f, limits, b in zip(features, bounds, names, strict=True)], F.col(target).cast("double").alias("y"), (F.col(split) == "validation").cast("int").alias("held")
@@ -264,7 +269,7 @@ def boosted(rows: DataFrame, features: Sequence[str], target: str, split: str, e
             yield from (_saved(trees[i : i + 100], i, bounds) for i in range(0, len(trees), 100))
 
     dealt = different.repartition(tasks, *names, "y")
-    return _as_spark(rows.sparkSession, dealt.mapInArrow(fit, _NODES, barrier=True), bounds, estimator)
+    return _as_spark(rows.sparkSession, dealt.mapInArrow(fit, _NODES, barrier=True), bounds, estimator), bounds
 
 
 _NODES = (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from queuescope.operators.asof import nearest
 from queuescope.operators.boosting import best_round as best_round
-from queuescope.operators.boosting import boosted
+from queuescope.operators.boosting import boosted, end_of_bin
 from queuescope.operators.features import impute
 from queuescope.sources.sinks import read_json, write_json
 
@@ -31,7 +31,8 @@ def fit_boosted(training: DataFrame, features: Sequence[str], target: str, *, sp
     Rounds end once ``patience`` of them in a row bring nothing better there; without
     validation rows all are kept.  One model for all entities (their encoded code is a feature), fitted by
     :func:`queuescope.operators.boosting.boosted`: rows stay spread over the tasks, no entity's rows are ever on
-    one machine unless all different rows are few.
+    one machine unless all different rows are few.  The pipeline's ``bounds`` are those of the features' bins, for
+    :func:`predict`; they are not saved with it.
     """
     from pyspark.ml import PipelineModel
     from pyspark.ml.feature import VectorAssembler
@@ -43,7 +44,10 @@ def fit_boosted(training: DataFrame, features: Sequence[str], target: str, *, sp
         featuresCol="__features", labelCol=target, lossType="absolute", maxDepth=depth, stepSize=step, maxIter=rounds,
         subsamplingRate=subsample, minInstancesPerNode=least_rows, seed=seed,
     )
-    return PipelineModel([assembler, boosted(rows, features, target, split, estimator, patience)])
+    trees, bounds = boosted(rows, features, target, split, estimator, patience)
+    fitted = PipelineModel([assembler, trees])
+    fitted.bounds = bounds
+    return fitted
 
 
 def fit_pair(training: DataFrame, features: Sequence[str], target: str, posted: str = "posted", kind: str = "wait_time_type", **options: Any) -> dict[str, Any]:
@@ -101,9 +105,19 @@ def train_in_batches(entities: DataFrame, train: Callable[[DataFrame], DataFrame
     return done
 
 
-def predict(model: Any, rows: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Adds ``prediction``, clamped at zero; missing features are 0."""
+def predict(model: Any, rows: DataFrame, features: Sequence[str], bounds: Sequence[list[float]] | None = None) -> DataFrame:
+    """Adds ``prediction``, clamped at zero; missing features are 0.
+
+    With the ``bounds`` of the bins that the model was fitted with, every tree is asked once for each cell of bins instead
+    of once a row.  The answers are the same; the rows are read twice, so they should be a table.
+    """
     from queuescope.functions.temporal import not_negative
 
     filled = rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("double") for c in features})
-    return model.transform(filled).withColumn("prediction", not_negative(F.col("prediction"))).drop("__features")
+    if bounds is None:
+        return model.transform(filled).withColumn("prediction", not_negative(F.col("prediction"))).drop("__features")
+    ends = [f"__end_{f}" for f in features]
+    placed = filled.withColumns({e: end_of_bin(f, limits) for e, f, limits in zip(ends, features, bounds, strict=True)})
+    cells = placed.select(*[F.col(e).alias(f) for e, f in zip(ends, features, strict=True)]).distinct().repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    answers = model.transform(cells).select(*[F.col(f).alias(e) for e, f in zip(ends, features, strict=True)], not_negative(F.col("prediction")).alias("prediction"))
+    return placed.join(answers, ends).drop(*ends)

@@ -224,11 +224,11 @@ def q_boosted_model(spark: SparkSession, d: str) -> DataFrame:
     """Test-period predictions of the boosted model against the observed waits."""
     rows = facts(spark, d).where(F.col("wait_time_type") == "ACTUAL")
     coded = features.label_encode(rows, "entity_code", features.label_mapping(rows, "entity_code"))
-    ready = coded.select("event_id", "park_date", F.col("entity_code_code").cast("double").alias("entity"), temporal.minutes_since_start_of_day(F.col("local_us")).cast("double").alias("minute"), (F.weekday("park_date") + 0.0).alias("weekday"), F.col("wait_time_minutes").cast("double").alias("target"))
+    ready = cut(coded.select("event_id", "park_date", F.col("entity_code_code").cast("double").alias("entity"), temporal.minutes_since_start_of_day(F.col("local_us")).cast("double").alias("minute"), (F.weekday("park_date") + 0.0).alias("weekday"), F.col("wait_time_minutes").cast("double").alias("target")))
     split = cut(features.chronological_split(ready, "park_date"))
     names = ["entity", "minute", "weekday"]
     fitted = model.fit_boosted(split, names, "target", rounds=model.ROUNDS, depth=model.DEPTH)
-    return model.predict(fitted, split.where(F.col("split") == "test"), names).select("event_id", "target", "prediction")
+    return model.predict(fitted, split.where(F.col("split") == "test"), names, fitted.bounds).select("event_id", "target", "prediction")
 
 
 @query("""SELECT round(1 - sum(e * e) / sum((y - m) * (y - m)), 9) AS r2, round(avg(abs(e)), 9) AS mae, round(sqrt(avg(e * e)), 9) AS rmse, round(avg(CASE WHEN y > 0 THEN abs(e) / y * 100 END), 6) AS mape, round(corr(y, p), 9) AS r

@@ -46,6 +46,16 @@ def test_tasks_exchange_without_the_sleep_of_the_stage(spark, monkeypatch):
     assert fitted.stages[-1].getNumTrees == 40 and time.monotonic() - began < 80  # of 160 exchanges, each slept for a second
 
 
+def test_cells_get_the_predictions_of_their_rows(spark):
+    fitted = model.fit_boosted(_data(spark), ["a", "b"], "y", rounds=8, depth=4)
+    nan, inf = float("nan"), float("inf")
+    values = [None, nan, -inf, inf, -1.0, 0.0, -0.0, 0.5, 3.0, 39.0, 40.0, *[x for limits in fitted.bounds for x in limits]]
+    rows = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate((x, y) for x in values for y in values)], "id long, a double, b double")
+    want, got = ({r["id"]: r["prediction"] for r in model.predict(fitted, rows, ["a", "b"], bounds).collect()} for bounds in (None, fitted.bounds))
+    assert got == want and len(want) == len(values) ** 2 and len(set(want.values())) > 10
+    assert model.predict(fitted, rows, ["a", "b"], fitted.bounds).columns == model.predict(fitted, rows, ["a", "b"]).columns
+
+
 def test_many_targets_in_few_cells_are_fitted_by_one_task(spark):
     rows = spark.range(60_000).selectExpr("double(id % 4) AS a", "id % 4 * 100 + id / 60000 AS y", "'train' AS split")
     began = time.monotonic()
@@ -62,7 +72,7 @@ def test_targets_of_cells_are_parted_as_row_by_row():
     order = np.lexsort((target, cell))
     cell, target, count, fitted = cell[order], target[order], draw.integers(1, 5, 200), np.array([-1.0, 2.0, 4.5, 3.0, 8.0, 99.0])
     of = boosting._Targets(cell, target, count, 6)
-    below, rest = of.parted(fitted, of.counts)
+    ((below, rest),) = of.parted(fitted, of.counts)
     assert below.tolist() == [count[(cell == c) & (target < fitted[c])].sum() for c in range(6)]
     assert rest.tolist() == [count[(cell == c) & (target >= fitted[c])].sum() for c in range(6)]
     assert of.error(fitted) == pytest.approx(float(np.abs(target - fitted[cell]) @ count))
